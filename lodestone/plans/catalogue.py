@@ -1,9 +1,271 @@
-"""Registered queries and their SQL."""
+"""Registered queries: every operator over the adapters' records, in long form. plans.oracle has their SQL."""
 
+from __future__ import annotations
 
-def queries() -> dict:
-    return {}
+from collections.abc import Callable
+from functools import partial
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def oracle_sql() -> dict:
-    return {}
+from lodestone.functions import normalizers as N
+from lodestone.functions import text as X
+from lodestone.operators import confidence, extract_structured, extract_text, identity, mapping, normalize, output, projection, provenance, survivorship, validation
+from lodestone.plans import adapters, consolidate, oracle
+from lodestone.sources.recruiter_csv import REQUIRED, not_blank, row_text
+from lodestone.sources.tables import union_sources
+
+#: Group metrics are watched by this query, so that a hot identity key is seen.
+ID, LONG = "master_candidate_id", "long"
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+
+
+def _exploded(df: DataFrame, key: str, items: Column, name: str, at: str = "pos") -> DataFrame:
+    return df.select(key, F.posexplode(items).alias(at, name)).withColumn(at, F.col(at).cast("long"))
+
+
+def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = adapters.structured(spark, sf_dir).transform(validation.drop_fatal)
+    return raw.transform(extract_structured.extract_structured).transform(mapping.to_canonical).transform(normalize.normalize)
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _normalized(spark, sf_dir).transform(identity.resolve).transform(survivorship.merge)
+
+
+def _masters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged(spark, sf_dir).transform(provenance.backfill).transform(confidence.assess)
+
+
+def q01_blank_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapters.recruiter_rows(spark, sf_dir)
+    # Rows whose key is divisible by 23 are blanked first, as no order is blank.
+    blanked = rows.select("seq", *(F.when(F.col("seq") % 23 != 0, F.col(c)).alias(c) for c in REQUIRED))
+    return blanked.filter(not_blank(REQUIRED, F.col)).select("seq", "name")
+
+
+def q02_row_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.recruiter_rows(spark, sf_dir).select("seq", row_text(REQUIRED, F.col).alias("raw_text"))
+
+
+def q03_validation_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validation.with_issues(adapters.structured(spark, sf_dir)).select("seq", F.inline("issues")).select("seq", "code", "severity", F.col("field").alias("field_name"))
+
+
+def q04_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validation.report(adapters.structured(spark, sf_dir))
+
+
+def q05_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = union_sources(adapters.structured(spark, sf_dir), adapters.documents(spark, sf_dir))
+    return both.groupBy("source_order", "source_type").agg(F.count("*").alias("n"), F.sum(F.length("raw_text")).alias("n_chars"))
+
+
+def q06_split_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exploded(adapters.recruiter_rows(spark, sf_dir), "seq", extract_structured.split_skills(F.col("skills")), "skill")
+
+
+def _found(extractor: Callable[[Column], Column], name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exploded(_documents(spark, sf_dir), "doc_id", extractor(F.col("text")), name)
+
+
+def q09_extract_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    text = F.concat_ws(" ", F.lit("see"), "url", F.lit("or www."), F.regexp_extract("url", "//([^/?#]+)", 1))
+    return _exploded(pages, "page_id", extract_text.urls(F.replace(text, F.lit("www. "), F.lit("www."))), "found")
+
+
+def q13_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).select("doc_id", F.explode(extract_text.sections(X.lines(_sectioned()))).alias("section", "held")).select("doc_id", "section", F.size("held").cast("long").alias("n_lines"))
+
+
+def _sectioned() -> Column:
+    """The text with two section headers put into it, as the documents have none."""
+    return F.concat(F.lit("Summary of it\n"), F.col("text"), F.lit("\nWork Experience\nEngineer, Acme Labs 2019\nskills: all\nSQL and Spark\n"))
+
+
+def q14_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).select("doc_id", extract_text.person(X.lines(F.col("text"))).alias("name"))
+
+
+def q15_organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.col("text"), F.lit(" He left Acme Labs. Then Blue Systems hired him"))
+    return _exploded(_documents(spark, sf_dir), "doc_id", extract_text.organizations(X.sentences(text)), "organization")
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text.extract_text(adapters.documents(spark, sf_dir).withColumn("raw_text", F.concat("raw_text", F.lit("\nBased in Lyon, France\nEducation\nMaster of Physics at Open University 2015\nExperience\nAnalyst, Blue Systems Jan 2018 - Present\n"))))
+
+
+def q16_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exploded(_extracted(spark, sf_dir), "seq", F.col("locations"), "place")
+
+
+def q17_education(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extracted(spark, sf_dir).select("seq", F.inline("education"))
+
+
+def q18_experience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extracted(spark, sf_dir).select("seq", F.inline("experience"))
+
+
+def q19_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = N.person_name(F.col("name"))
+    first, last = N.name_parts(name)
+    return adapters.recruiter_rows(spark, sf_dir).select("seq", name.alias("full_name"), first.alias("first_name"), last.alias("last_name"))
+
+
+def q20_phones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.recruiter_rows(spark, sf_dir).select("seq", N.phone(F.col("phone")).alias("phone"))
+
+
+def q21_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapters.recruiter_rows(spark, sf_dir).select("seq", X.first(N.emails(F.array("email"))).alias("email"))
+
+
+def q22_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Nations come in upper case; capitalized ones are names of known countries.
+    place = N.location(F.initcap("location"))
+    return adapters.recruiter_rows(spark, sf_dir).select("seq", place.alias("p")).select("seq", "p.city", "p.state_or_region", "p.country", "p.raw_location")
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as texts of several shapes."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    shape = F.element_at(F.array(F.date_format("d", "yyyy-MM-dd"), F.date_format("d", "yyyy"), F.date_format("d", "d MMM yyyy"), F.date_format("d", "MMMM d, yyyy"), F.lit("soon")), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    return orders.select("o_orderkey", shape.alias("text"), F.date_format("d", "yyyy").alias("year"))
+
+
+def q23_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dated(spark, sf_dir).select("o_orderkey", "text", N.date(F.col("text")).cast("string").alias("parsed"))
+
+
+def q24_date_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by = F.element_at(F.array(*map(F.lit, (" - ", " to ", "-", "–", "—"))), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    end = F.when(F.col("o_orderkey") % 3 == 0, "Present").otherwise((F.col("year").cast("int") + 2).cast("string"))
+    made = _dated(spark, sf_dir).select("o_orderkey", F.concat("year", by, end).alias("text"))
+    return made.select("o_orderkey", "text", N.date_range(F.col("text")).alias("r")).select("o_orderkey", "text", F.col("r.start_date").cast("string").alias("start_date"), F.col("r.end_date").cast("string").alias("end_date"), "r.is_current")
+
+
+def q25_ordered_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapters.recruiter_rows(spark, sf_dir)
+    items = F.concat(F.split("skills", ","), F.split(F.upper("skills"), ","), F.split("title", "-"))
+    return _exploded(rows, "seq", X.distinct(F.transform(items, X.trim)), "item")
+
+
+def q26_identity_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identity.assign(_normalized(spark, sf_dir)).select("seq", "rule", "group_id")
+
+
+def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = identity.groups(_normalized(spark, sf_dir))
+    return made.select("group_id", "group_key", "rule", "resolution_status", "group_size", "rule_order", F.size("record_ids").cast(LONG).alias("n_ids"))
+
+
+def q27_identity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _groups(spark, sf_dir)
+
+
+def q28_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _groups(spark, sf_dir).filter("rule = 'ambiguous'").select("group_id", "group_key")
+
+
+def q29_no_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _groups(spark, sf_dir).filter("rule = 'no_match'").select("group_id", "group_key")
+
+
+def q30_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = "canonical_profile"
+    return _merged(spark, sf_dir).select(ID, f"{p}.full_name", f"{p}.first_name", f"{p}.last_name", f"{p}.headline", f"{p}.contact.email", f"{p}.contact.phone", F.size(f"{p}.contact.alternate_emails").cast(LONG).alias("more_emails"), F.size(f"{p}.contact.alternate_phones").cast(LONG).alias("more_phones"), F.size("merged_record_ids").cast(LONG).alias("n_records"))
+
+
+def q31_survivor_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exploded(_merged(spark, sf_dir), ID, F.transform("canonical_profile.skills", lambda s: s["name"]), "skill")
+
+
+def q31_survivor_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged(spark, sf_dir).select(ID, F.posexplode("canonical_profile.work_experience").alias("pos", "e")).select(ID, F.col("pos").cast(LONG).alias("pos"), "e.company_name", "e.title")
+
+
+def q32_survivor_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.col("canonical_profile.location")
+    return _merged(spark, sf_dir).select(ID, place.city.alias("city"), place.state_or_region.alias("state_or_region"), place.country.alias("country"), place.raw_location.alias("raw_location"))
+
+
+_TRACED = ["full_name", "headline", "contact.email", "contact.phone", "skills", "work_experience", "location.city", "location.raw_location"]
+
+
+def _entries(master: DataFrame) -> DataFrame:
+    return master.select(ID, F.posexplode("provenance").alias("pos", "p")).select(ID, "pos", "p.*")
+
+
+def q33_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of the scalar fields, with the record each came from."""
+    scalar = [f for f in _TRACED if f not in ("skills", "work_experience")]
+    return _entries(_merged(spark, sf_dir)).filter(F.col("field_name").isin(scalar)).select(ID, "field_name", "source_record_id", "source_type", "method", "source_value")
+
+
+def q34_provenance_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    full = provenance.backfill(_merged(spark, sf_dir))
+    return _entries(full).filter(~F.col("field_name").startswith("attributes.")).groupBy("field_name", "method").agg(F.count("*").alias("n"))
+
+
+def q35_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masters(spark, sf_dir).select(ID, "confidence.overall_score", *(f"confidence.{s}" for s in confidence.SCORES))
+
+
+def q36_projection_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = projection.project(_masters(spark, sf_dir), {})
+    return made.withColumn("skills", F.array_join("skills", "|"))
+
+
+def q37_projection_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = {
+        "fields": [{"source": "canonical_profile.contact.phone", "target": "telephone", "missing_value": "unlisted"}],
+        "field_selection": ["canonical_profile.full_name", "canonical_profile.contact.email", "canonical_profile.headline", "attributes.resolution_rule"],
+        "field_renames": {"canonical_profile.headline": "role"},
+        "missing_value_policy": "empty_string",
+        "include_confidence": True,
+        "ordering": ["telephone", "role"],
+    }
+    return projection.project(_masters(spark, sf_dir), config)
+
+
+_FULL = {"field_selection": projection.DEFAULTS, "include_confidence": True, "include_provenance": True, "ordering": ["candidate_id", "full_name"]}
+
+
+def q38_output_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return output.json_objects(output.validate(projection.project(_masters(spark, sf_dir), _FULL), {"required_fields": ["candidate_id"], "projection": _FULL}))
+
+
+def q39_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Golden records, from source rows to the validated output columns."""
+    config = {"field_selection": projection.DEFAULTS, "include_confidence": True}
+    made = consolidate.golden(consolidate.normalized(adapters.structured(spark, sf_dir)))
+    valid = output.validate(projection.project(made, config), {"required_fields": ["candidate_id", "full_name"]})
+    return valid.withColumn("skills", F.array_join("skills", "|"))
+
+
+def q40_documents_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Golden records of free-text documents."""
+    made = consolidate.golden(consolidate.normalized(adapters.documents(spark, sf_dir)))
+    return output.validate(projection.project(made, {"field_selection": projection.DEFAULTS, "include_confidence": True}), {}).withColumn("skills", F.array_join("skills", "|"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = {k: f for k, f in globals().items() if k[0] == "q" and k[1:3].isdigit()}
+    found |= {
+        "q07_extract_emails": partial(_found, extract_text.emails, "email"),
+        "q08_extract_phones": partial(_found, extract_text.phones, "phone"),
+        "q10_extract_skills": partial(_found, lambda text: extract_text.skills(F.concat(text, F.lit(" Go, C++ and node.js; Java-Script (SQL)"))), "skill"),
+        "q11_lines": partial(_found, X.lines, "line"),
+        "q12_sentences": partial(_found, X.sentences, "sentence"),
+    }
+    return dict(sorted(found.items()))
+
+
+def oracle_sql() -> dict[str, str]:
+    return oracle.statements()
