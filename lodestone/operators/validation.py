@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ def _issue(code: str, severity: str, field: str | None, message: Column | str, w
     return F.when(when, F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.lit(field).cast("string").alias("field"), text.alias("message")))
 
 
-def issues() -> Column:
-    """The issues of a raw record, in a fixed order."""
+def _checks() -> list[tuple]:
+    """(code, severity, field, message, when it holds) of every check, in a fixed order."""
     kind, payload = F.col("source_type"), F.col("payload")
     is_csv = kind == "recruiter_csv"
     suffix = F.lower(F.regexp_extract("file_name", r"(\.[^.]+)$", 1))
@@ -34,19 +35,23 @@ def issues() -> Column:
     lacking = F.array_except(strings(REQUIRED), F.coalesce("fieldnames", F.array().cast("array<string>")))
     digits = F.length(F.regexp_replace(cell("phone"), r"\D", ""))
     blank_text = F.col("raw_text").isNotNull() & (F.regexp_replace("raw_text", P.SPACE, "") == "")
-    found = [
-        _issue("unsupported_source_type", "fatal", "source_type", "source type is not supported", ~F.coalesce(kind.isin(SOURCE_TYPES), F.lit(False))),
-        _issue("unsupported_csv_file_type", "fatal", "file_name", "recruiter files end in .csv", is_csv & named & (suffix != ".csv")),
-        _issue("unsupported_resume_file_type", "fatal", "file_name", "résumé files end in .pdf or .docx", kind.startswith("resume_") & named & ~suffix.isin(".pdf", ".docx")),
-        _issue("empty_record", "fatal", None, "record has no content", F.coalesce(F.size("payload") <= 0, F.lit(True)) | F.coalesce(blank_text, F.lit(False))),
-        _issue("missing_csv_fieldnames", "fatal", "fieldnames", "record has no column names", is_csv & F.coalesce(F.size("fieldnames") <= 0, F.lit(True))),
-        _issue("missing_required_columns", "fatal", "fieldnames", F.concat(F.lit("missing columns: "), F.array_join(F.array_sort(lacking), ", ")), is_csv & (F.size("fieldnames") > 0) & (F.size(lacking) > 0)),
-        *(_issue("missing_required_value", "error", c, f"{c} has no value", is_csv & ~F.coalesce(has(c), F.lit(False))) for c in NEEDED_VALUES),
-        _issue("malformed_email", "error", "email", "e-mail address is malformed", is_csv & has("email") & ~F.trim(cell("email")).rlike(P.EMAIL_WHOLE)),
-        _issue("malformed_phone_number", "error", "phone", "phone number has other characters", is_csv & has("phone") & ~F.trim(cell("phone")).rlike(P.PHONE_CHARACTERS)),
-        _issue("malformed_phone_number", "error", "phone", "phone number has fewer than 7 digits", is_csv & has("phone") & F.trim(cell("phone")).rlike(P.PHONE_CHARACTERS) & (digits < 7)),
+    return [
+        ("unsupported_source_type", "fatal", "source_type", "source type is not supported", ~F.coalesce(kind.isin(SOURCE_TYPES), F.lit(False))),
+        ("unsupported_csv_file_type", "fatal", "file_name", "recruiter files end in .csv", is_csv & named & (suffix != ".csv")),
+        ("unsupported_resume_file_type", "fatal", "file_name", "résumé files end in .pdf or .docx", kind.startswith("resume_") & named & ~suffix.isin(".pdf", ".docx")),
+        ("empty_record", "fatal", None, "record has no content", F.coalesce(F.size("payload") <= 0, F.lit(True)) | F.coalesce(blank_text, F.lit(False))),
+        ("missing_csv_fieldnames", "fatal", "fieldnames", "record has no column names", is_csv & F.coalesce(F.size("fieldnames") <= 0, F.lit(True))),
+        ("missing_required_columns", "fatal", "fieldnames", F.concat(F.lit("missing columns: "), F.array_join(F.array_sort(lacking), ", ")), is_csv & (F.size("fieldnames") > 0) & (F.size(lacking) > 0)),
+        *(("missing_required_value", "error", c, f"{c} has no value", is_csv & ~F.coalesce(has(c), F.lit(False))) for c in NEEDED_VALUES),
+        ("malformed_email", "error", "email", "e-mail address is malformed", is_csv & has("email") & ~F.trim(cell("email")).rlike(P.EMAIL_WHOLE)),
+        ("malformed_phone_number", "error", "phone", "phone number has other characters", is_csv & has("phone") & ~F.trim(cell("phone")).rlike(P.PHONE_CHARACTERS)),
+        ("malformed_phone_number", "error", "phone", "phone number has fewer than 7 digits", is_csv & has("phone") & F.trim(cell("phone")).rlike(P.PHONE_CHARACTERS) & (digits < 7)),
     ]
-    return F.array_compact(F.array(*found))
+
+
+def issues() -> Column:
+    """The issues of a raw record."""
+    return F.array_compact(F.array(*(_issue(*check) for check in _checks())))
 
 
 def with_issues(raw: DataFrame) -> DataFrame:
@@ -72,7 +77,9 @@ def has_fatal() -> Column:
 
 def drop_fatal(raw: DataFrame) -> DataFrame:
     """Records without a fatal issue. A predicate on the row itself, so no join."""
-    return with_issues(raw).filter(~has_fatal()).drop("issues")
+    schema.require(raw, NEEDS, ValidationError)
+    fatal = reduce(lambda a, b: a | b, (F.coalesce(when, F.lit(False)) for _, severity, _, _, when in _checks() if severity == "fatal"))
+    return raw.filter(~fatal)
 
 
 def validate_configuration(config: Mapping) -> list[dict]:

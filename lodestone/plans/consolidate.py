@@ -7,7 +7,7 @@ import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.operators import confidence, identity, mapping, normalize, output, projection, provenance, survivorship, validation
@@ -58,15 +58,15 @@ class Summary:
 
 
 def run(spark: SparkSession, config: PipelineConfig, projection_config: Mapping | str) -> Summary:
-    """Read, consolidate, project, validate and write, in one action; counts are observed on the way."""
+    """Read, consolidate, project, validate and write. Records are counted by a scan of their own, golden records as they are written."""
     began = time.perf_counter()
-    read, made = Observation("records"), Observation("golden records")
-    raw = load_sources(spark, config).observe(read, F.count(F.lit(1)).alias("n"))
-    masters = golden(normalized(raw)).observe(made, F.count(F.lit(1)).alias("n"))
+    raw = load_sources(spark, config)
+    masters = golden(normalized(raw))
     projected = projection.project(masters, projection_config)
     contract = output.parse_output({"required_fields": config.output_validation.required_fields, "allow_unknown_fields": config.output_validation.allow_unknown_fields, "pretty": config.output_validation.pretty, "projection": dict(projection_config) if isinstance(projection_config, Mapping) else None})
     valid = output.validate(projected, contract)
-    path = output.write_json_array(valid, config.resolve(config.output.output_json_path), contract.pretty)
-    out = Summary(read.get["n"], made.get["n"], time.perf_counter() - began, path)
+    path = config.resolve(config.output.output_json_path)
+    made = output.write_json_array(valid, path, contract.pretty)
+    out = Summary(raw.count(), made, time.perf_counter() - began, path)
     LOG.info("%d records gave %d golden records in %.1f s: %s", out.records, out.golden_records, out.seconds, path)
     return out

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from lodestone import schema
 from lodestone.errors import CsvSourceError
+from lodestone.session import planned
 from lodestone.sources.files import checksum, exists, first_line, is_dir
 
 LOG = logging.getLogger(__name__)
@@ -75,11 +76,11 @@ def read_recruiter_csv(spark: SparkSession, path: str, batch_id: str | None = No
     numbered = read.withColumn("row_number", (F.monotonically_increasing_id() % (1 << 33) + 2))
     whole = F.col(_BAD).isNotNull() & (F.size(F.split(F.col(_BAD), _CELL_BREAK, -1)) <= len(names))
     value = {n: trimmed(F.col(c)) for n, c in zip(names, cells)}
-    kept = numbered.filter(whole & not_blank(names, value.__getitem__))
+    kept = numbered.filter(whole)
     file_name = PurePosixPath(path).name
     text = row_text(names, value.__getitem__)
     payload = F.create_map(*(x for n in names for x in (F.lit(n), value[n])), F.lit("row_number"), F.col("row_number").cast("string"))
-    return kept.select(
+    records = kept.select(
         record_id(F.lit(file_name), F.col("row_number").cast("string"), text).alias("record_id"),
         F.col("row_number").alias("seq"),
         F.lit(file_name).alias("source_name"),
@@ -95,5 +96,4 @@ def read_recruiter_csv(spark: SparkSession, path: str, batch_id: str | None = No
         text.alias("raw_text"),
         F.array(F.lit("recruiter"), F.lit("csv")).alias("tags"),
     )
-
-
+    return planned(records).filter("raw_text != ''")  # a row without any value has no text

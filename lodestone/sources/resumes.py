@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import no_strings
+from lodestone.session import planned
 from lodestone.sources.files import exists
 from lodestone.sources.recruiter_csv import empty_records, record_id
 
@@ -72,7 +73,7 @@ def resume_records(texts: DataFrame, batch_id: str | None = None) -> DataFrame:
     kind = F.concat(F.lit("resume_"), F.col("suffix"))
     mime = F.when(F.col("suffix") == "pdf", MIME["pdf"]).when(F.col("suffix") == "docx", MIME["docx"]).otherwise("text/plain")
     payload = F.create_map(F.lit("file_name"), F.col("file_name"), F.lit("file_extension"), F.concat(F.lit("."), "suffix"), F.lit("text_length"), F.length("raw_text").cast("string"))
-    return texts.filter("trim(raw_text) != ''").select(
+    return planned(texts).filter("trim(raw_text) != ''").select(
         record_id(F.col("file_name"), F.coalesce("checksum_sha256", F.lit("")), F.col("raw_text")).alias("record_id"),
         F.lit(0).cast("long").alias("seq"),
         F.col("file_name").alias("source_name"),

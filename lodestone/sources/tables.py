@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.session import planned
 from lodestone.sources.recruiter_csv import REQUIRED, not_blank, record_id, row_text
 
 
@@ -13,7 +14,7 @@ def structured_records(rows: DataFrame, source_name: str = "table") -> DataFrame
     value = lambda c: F.col(c)
     text = row_text(REQUIRED, value)
     none = F.lit(None).cast("string")
-    return rows.filter(not_blank(REQUIRED, value)).select(
+    return planned(rows).filter(not_blank(REQUIRED, value)).select(
         record_id(F.lit(source_name), F.col("seq").cast("string"), text).alias("record_id"),
         F.col("seq").cast("long").alias("seq"),
         F.lit(source_name).alias("source_name"),
