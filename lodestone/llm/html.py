@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.common import hash_sample
+
 # Names of HTML elements and words in class, id or role that mark what isn't main text.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -206,7 +208,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(pages: DataFrame, max_pages: int = 2000, max_names: int = 1000) -> Weights:
     """Weights from at most max_pages pages that mark their article; the max_names most frequent contexts and tags."""
     marked = pages.filter(F.col("html").rlike(r"(?i)<(article|main)[\s>]"))
-    sample = marked.select("html", F.xxhash64("page_id", "html").alias("order")).orderBy("order").limit(max_pages).select("html")
+    sample = hash_sample(marked.select("page_id", "html"), max_pages, "page_id").select("html")
     counted = sample.mapInArrow(_count, "kind string, name string, inside boolean, n long").groupBy("kind", "name").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("yes"), F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("no"))
     rows = counted.orderBy(F.desc(F.col("yes") + F.col("no")), "kind", "name").limit(max_names).collect()
     words = {r["name"]: math.log((r["yes"] + 1) / (r["no"] + 1)) for r in rows if r["kind"] == "w"}

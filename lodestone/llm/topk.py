@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import ceil_div, materialize
+from lodestone.llm.common import ceil_div, hash_sample, materialize
 
 _KEYED = "vec_id long, dim int, pivot int, dist double, norm2 double, vec binary"
 _FOUND = "query_id long, vec_id long, score long"
@@ -72,8 +72,7 @@ def _centres(x: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
 
 def fit_pivots(vectors: DataFrame, scale: float, n_pivots: int, sample: int) -> dict[int, np.ndarray]:
     """Pivots by vector length."""
-    order = F.xxhash64("vec_id")
-    rows = vectors.filter("embedding is not null").orderBy(order, "vec_id").limit(sample).select("embedding").toArrow()
+    rows = hash_sample(vectors.filter("embedding is not null"), sample, "vec_id").select("embedding").toArrow()
     by_dim: dict[int, list[np.ndarray]] = {}
     for _, x in _vectors(rows.column(0).combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.float64())), scale):
         by_dim.setdefault(len(x), []).append(x)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import WordCache, crc32_mod, materialize
+from lodestone.llm.common import WordCache, crc32_mod, hash_sample, materialize
 
 # Seed words in English, German, French and Spanish.
 INSULTS = "idiot moron stupid loser scum trash pathetic worthless imbecile bastard dummkopf abschaum trottel connard abruti crétin imbécile estúpido basura".split()
@@ -204,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int | None
     rows = labels.filter("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     if held_out is not None:
         rows = rows.filter(crc32_mod(F.col("doc_id"), folds) != held_out)
-    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    rows = hash_sample(rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), max_rows, "doc_id")
     sample = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rows), "doc_id").select("doc_id", "text", "toxic"), "labelled")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(n) < 2:
