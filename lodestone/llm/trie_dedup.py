@@ -89,7 +89,7 @@ class PatriciaTrie:
                 child.label = child.label[n:]
                 upper.children[child.label[0]] = child
                 node.children[rest[0]] = child = upper
-                self._grow(self.NODE)
+                self.bytes += self.NODE  # spilling waits until the string is in
             node, rest = child, rest[n:]
 
     def _grow(self, n: int) -> None:
@@ -121,7 +121,7 @@ class PatriciaTrie:
             node, prefix = stack.pop()
             if node.spill is not None:
                 node.spill.seek(0)
-                inner = PatriciaTrie(self.best, self.budget)
+                inner = PatriciaTrie(self.best, max(2 * self.budget, 1 << 16))  # twice as much, so that spills nest to a small depth only
                 while True:
                     try:
                         rest, owner, count = pickle.load(node.spill)
