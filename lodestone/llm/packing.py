@@ -169,10 +169,11 @@ def _packer(capacity: int, open_bins: int, loose: int | None):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, open_bins: int = 256, pieces_per_task: int = 32_768, loose: int = 8) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, open_bins: int = 16_384, pieces_per_task: int = 32_768, loose: int = 8) -> DataFrame:
     """Assign pieces to sequences of at most capacity ids, gapless from offset 0.
 
-    Pieces are dealt at random over tasks of about pieces_per_task. Bins that a task leaves open and not nearly full
+    Pieces are dealt at random over tasks of about pieces_per_task, which take the longest first, with bins enough for
+    those that fill more than half of one. Bins that a task leaves open and not nearly full
     give their pieces back to a second, smaller round, so the loss doesn't grow with the number of tasks.
     Every piece of full length is a sequence of its own. pieces must be a stored table: it is read more than once.
     """
@@ -180,7 +181,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, open_bins: int = 256, pieces_p
     order = F.xxhash64("doc_id", "piece", "ids_crc32", "start")
     part = pieces.filter(F.col("length") < capacity).select(*columns)
     tasks = max(1, ceil_div(part.count(), pieces_per_task))
-    first = materialize(part.repartition(tasks, order).sortWithinPartitions(order, "doc_id", "piece").mapInArrow(_packer(capacity, open_bins, loose), _PLACED), "packed")
+    first = materialize(part.repartition(tasks, order).sortWithinPartitions(F.desc("length"), order, "doc_id", "piece").mapInArrow(_packer(capacity, open_bins, loose), _PLACED), "packed")
     back = first.filter("open").select(*columns)
     again = back.repartition(max(1, ceil_div(back.count(), 4 * pieces_per_task))).sortWithinPartitions(F.desc("length"), order, "doc_id", "piece").mapInArrow(_packer(capacity, 1 << 20, None), _PLACED)
     out = [F.col("doc_id"), F.col("piece"), F.col("start"), F.col("length"), F.col("ids_crc32")]
