@@ -121,30 +121,30 @@ def _search(k: int, chunk: int = 512):
         current, held = None, {}  # by length: ids and vectors of the block
         ready: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-        def answer(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]:
+        def answer(rows: list[tuple[int, int, bytes, int | None]]) -> list[tuple[int, int, int]]:
             found = []
-            for dim in {d for _, d, _ in rows}:
+            for dim in {d for _, d, _, _ in rows}:
                 if dim not in held:
                     continue
                 if dim not in ready:
                     ready[dim] = np.array([i for i, _ in held[dim]]), np.array([v for _, v in held[dim]])
                 ids, block = ready[dim]
-                own = [(q, _unpack(v, dim)) for q, d, v in rows if d == dim]
+                own = [(q, _unpack(v, dim), floor) for q, d, v, floor in rows if d == dim]
                 for at in range(0, len(own), chunk):
                     part = own[at : at + chunk]
-                    for (q, _), s in zip(part, _scores(np.array([v for _, v in part]), block)):
-                        found += [(q, i, v) for i, v in _top(s, ids, q, k)]
+                    for (q, _, floor), s in zip(part, _scores(np.array([v for _, v, _ in part]), block)):
+                        found += [(q, i, v) for i, v in _top(s, ids, q, k) if floor is None or v >= floor]
             return found
 
         for batch in batches:
-            blocks, kinds, ids, dims, vecs = (c.to_pylist() for c in batch.columns)
+            blocks, kinds, ids, dims, vecs, floors = (c.to_pylist() for c in batch.columns)
             found, asked = [], []
-            for b, is_query, i, dim, vec in zip(blocks, kinds, ids, dims, vecs):
+            for b, is_query, i, dim, vec, floor in zip(blocks, kinds, ids, dims, vecs, floors):
                 if b != current:
                     found += answer(asked)
                     asked, current, held, ready = [], b, {}, {}
                 if is_query:
-                    asked.append((i, dim, vec))
+                    asked.append((i, dim, vec, floor))
                 else:
                     held.setdefault(dim, []).append((i, _unpack(vec, dim)))
             found += answer(asked)
@@ -154,8 +154,9 @@ def _search(k: int, chunk: int = 512):
 
 
 def _visit(index: DataFrame, routed: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, score: the k best of every block for each query routed to it. routed: block, vec_id, dim, vec."""
-    both = index.select("block", F.lit(0).alias("is_query"), "vec_id", "dim", "vec").union(routed.select("block", F.lit(1), "vec_id", "dim", "vec"))
+    """query_id, vec_id, score: the k best of every block, from the query's floor up, for each query routed to it. routed: block, vec_id, dim, vec, floor."""
+    none = F.lit(None).cast("long").alias("floor")
+    both = index.select("block", F.lit(0).alias("is_query"), "vec_id", "dim", "vec", none).union(routed.select("block", F.lit(1), "vec_id", "dim", "vec", "floor"))
     return both.repartition("block").sortWithinPartitions("block", "is_query").mapInArrow(_search(k), _FOUND)
 
 
@@ -180,9 +181,9 @@ def _route(directory: list[tuple], pivots: dict[int, np.ndarray]):
                 bound = np.minimum((x @ x + norm2 - near**2) / 2, np.sqrt((x @ x) * norm2))
                 slack = 1e-9 * (x @ x + norm2) + 1
                 reach = np.ones(len(block), bool) if floor is None else bound + slack >= floor
-                out += [(b, vec_id, dim, vec) for b in np.unique(block[reach]).tolist() if b != own]
-            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 4, kinds)], ["block", "vec_id", "dim", "vec"])
+                out += [(b, vec_id, dim, vec, floor) for b in np.unique(block[reach]).tolist() if b != own]
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 5, kinds)], ["block", "vec_id", "dim", "vec", "floor"])
 
     return run
 
@@ -199,8 +200,8 @@ def top_k(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 10,
     index = materialize(keyed.repartitionByRange(blocks, "dim", "pivot", "dist", "vec_id").withColumn("block", F.spark_partition_id()), "index")
     directory = [tuple(r) for r in index.groupBy("block", "dim", "pivot").agg(F.min("dist"), F.max("dist"), F.max("norm2")).collect()]
     queries = index.filter(is_query(F.col("vec_id"))).dropDuplicates(["vec_id", "vec"])
-    home = materialize(_visit(index, queries, k), "home")
+    home = materialize(_visit(index, queries.withColumn("floor", F.lit(None).cast("long")), k), "home")
     floors = _best(home, k).groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("floor"))
     asked = queries.join(floors, queries.vec_id == floors.query_id, "left").select("vec_id", "dim", "block", "vec", "floor")
-    away = _visit(index, asked.mapInArrow(_route(directory, pivots), "block int, vec_id long, dim int, vec binary"), k)
+    away = _visit(index, asked.mapInArrow(_route(directory, pivots), "block int, vec_id long, dim int, vec binary, floor long"), k)
     return _best(home.union(away), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
