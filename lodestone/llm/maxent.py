@@ -42,7 +42,7 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split(), END]
 
 
-def _count(most: int = 1_000_000):
+def _count(most: int = 300_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
 
@@ -93,8 +93,8 @@ def _profiles(head: list[bytes], shape: Shape):
         index, total = Indexer(head, shape), np.zeros((shape.head, shape.anchors), np.float32)
         for batch in batches:
             for text in batch.column(0):
-                ids, n = np.unique(index(tokens(text.as_py())), return_counts=True)
-                ids, n = ids[ids < shape.head], n[ids < shape.head]
+                ids = index(tokens(text.as_py()))
+                ids, n = np.unique(ids[ids < shape.head], return_counts=True)
                 company = np.zeros(shape.anchors, np.float32)
                 few = ids < shape.anchors
                 company[ids[few]] = n[few]
@@ -193,15 +193,19 @@ def history(ids: np.ndarray, slots: int) -> np.ndarray:
 
 
 def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the classes."""
+    """Scores of the classes, the largest of each token 0."""
     z = bias + weights[0, features[0]]
     for k in range(1, TEMPLATES):
         z += weights[k, features[k]]
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
 
+def _log_share(z: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log-probability of each token's own class."""
+    return z[np.arange(len(own)), own] - np.log(np.exp(z).sum(axis=1))
+
+
 def _batches(batches: Iterator[pa.RecordBatch], index: Indexer, shape: Shape, column: int = 0):
     """(ids, features, texts' lengths, their words) of about shape.batch tokens."""
     held, n = [], 0
@@ -230,11 +234,14 @@ def _train(model, shape: Shape):
             for at in range(0, len(ids), shape.batch):
                 f, c = features[:, at : at + shape.batch], own[at : at + shape.batch]
                 slope = np.exp(_logits(weights, m.bias, f))
+                slope /= slope.sum(axis=1, keepdims=True)
                 slope[np.arange(len(c)), c] -= 1
                 size = np.einsum("ij,ij->i", slope, slope)
                 for k in range(TEMPLATES):
                     order = np.argsort(f[k].astype(np.uint16), kind="stable")
-                    slots, starts = np.unique(f[k][order], return_index=True)
+                    placed = f[k][order]
+                    starts = np.flatnonzero(np.concatenate(([True], placed[1:] != placed[:-1])))
+                    slots = placed[starts]
                     scale[k, slots] += np.add.reduceat(size[order], starts)
                     weights[k, slots] -= shape.rate * np.add.reduceat(slope[order], starts, axis=0) / np.sqrt(scale[k, slots])[:, None]
         if seen:
@@ -243,9 +250,21 @@ def _train(model, shape: Shape):
     return run
 
 
+def _most_frequent(counts: DataFrame, most: int) -> list:
+    """The most frequent words, at most so many: those above a level of frequency. Levels are 64 to a doubling, so few counts reach the driver to choose one."""
+    level = F.floor(F.log2("n") * 64).cast("int")
+    found, lowest = 0, 1 << 20
+    for row in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        found += row["count"]
+        if found > most:
+            break
+        lowest = row["level"]
+    return sorted(counts.filter(level >= lowest).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
+
+
 def fit(train: DataFrame, counts: DataFrame, total: int, shape: Shape, rounds: tuple[int, ...] = (1, 3)) -> Model:
     """train: doc_id, text of the training rows. counts: word, n. rounds: shares of the rows that each round uses."""
-    top = counts.orderBy(F.desc("n"), "word").limit(shape.head).collect()
+    top = _most_frequent(counts, shape.head)
     head, n = [bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.float64)
     profiles = _summed(train.select("text").mapInArrow(_profiles(head, shape), "part int, task int, data binary"), (shape.head, shape.anchors), False)
     own = classes(head, n, profiles, shape)
@@ -280,7 +299,7 @@ def _score(model):
                 if held:
                     ids, features = np.concatenate([i for i, _ in held]), np.concatenate([f for _, f in held], axis=1)
                     own = m.class_of(ids)
-                    z = np.concatenate([_logits(m.weights, m.bias, features[:, at : at + shape.batch])[np.arange(len(own[at : at + shape.batch])), own[at : at + shape.batch]] for at in range(0, len(ids), shape.batch)])
+                    z = np.concatenate([_log_share(_logits(m.weights, m.bias, features[:, at : at + shape.batch]), own[at : at + shape.batch]) for at in range(0, len(ids), shape.batch)])
                     known = ids < n_head
                     near = np.where(known, ids, 0)
                     starts = np.cumsum([0, *(len(i) for i, _ in held[:-1])])
