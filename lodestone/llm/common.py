@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +26,35 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def lean_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Smaller Arrow batches than Spark's default of 10,000 rows, as texts are long. A setting of one's own stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
+def given_back(run):
+    """run, a function for mapInArrow, that returns freed memory to the system when a task ends, as workers live on."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back, which cuts the lineage and survives lost executors.
 
     The files go when the driver's JVM ends.
     """
     spark = df.sparkSession
+    lean_batches(spark)
     path = f"{shared_dir(spark)}/lodestone/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
@@ -53,7 +80,7 @@ def ceil_div(a: int, b: int) -> int:
 class WordCache(dict):
     """Values of words, computed once each by make(word); forgets everything beyond limit entries."""
 
-    def __init__(self, make, limit: int = 400_000, longest: int = 64):
+    def __init__(self, make, limit: int = 100_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 

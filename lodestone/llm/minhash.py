@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import ASCII_LOWER, WordCache, materialize
+from lodestone.llm.common import ASCII_LOWER, given_back, materialize, WordCache
 from lodestone.llm.graph import components
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -111,7 +111,7 @@ def features(docs: DataFrame, width: int, n_bands: int, band_rows: int, bits: in
             flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n", "set_key", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, set_key binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(given_back(run), "doc_id long, n long, set_key binary, bands array<long>")
 
 
 def _find(parent: np.ndarray, x: int) -> int:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import WordCache, ceil_div, materialize
+from lodestone.llm.common import ceil_div, given_back, materialize, WordCache
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = PIECE + ", sequence_id long, offset long, open boolean"
@@ -87,7 +87,7 @@ def cut(docs: DataFrame, tokenizer: dict[str, str], capacity: int = 1024, end_id
                     at, k = to, k + 1
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, PIECE)
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(given_back(run), PIECE)
 
 
 class OpenBins:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import WordCache, crc32_mod, hash_sample, materialize
+from lodestone.llm.common import crc32_mod, given_back, hash_sample, materialize, WordCache
 
 # Seed words in English, German, French and Spanish.
 INSULTS = "idiot moron stupid loser scum trash pathetic worthless imbecile bastard dummkopf abschaum trottel connard abruti crétin imbécile estúpido basura".split()
@@ -178,7 +178,7 @@ def _count_terms(lengths: range):
         for batch in batches:
             for text, toxic in zip(batch.column(1), batch.column(2).to_pylist()):
                 counts[toxic].update(_terms(text.as_py() or "", lengths))
-                if len(counts[0]) + len(counts[1]) > 1_000_000:
+                if len(counts[0]) + len(counts[1]) > 150_000:  # what is flushed early meets again in the shuffle
                     yield flush()
         yield flush()
 
@@ -209,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int | None
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(n) < 2:
         return Model(seeds, {})
-    counted = sample.mapInArrow(_count_terms(stem_lengths), "term string, stem boolean, clean long, toxic long").groupBy("term", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = sample.mapInArrow(given_back(_count_terms(stem_lengths)), "term string, stem boolean, clean long, toxic long").groupBy("term", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
     share, both = F.col("toxic") / (F.col("toxic") + F.col("clean")), F.col("toxic") + F.col("clean")
     z = 1.96  # lower end of Wilson's interval for the share of toxic rows among the rows that have the term
@@ -226,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int | None
             found = [match(t.as_py(), reader).tolist() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(2)], ["x", "toxic"])
 
-    table = sample.mapInArrow(measure, "x array<double>, toxic int").toPandas()  # at most max_rows rows
+    table = sample.mapInArrow(given_back(measure), "x array<double>, toxic int").toPandas()  # at most max_rows rows
     w = _logistic(np.array(table["x"].tolist()), table["toxic"].to_numpy(float))
     return Model(model.words, model.stems, tuple(map(float, w[:-1])), float(w[-1]))
 
@@ -243,4 +243,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             p = 1 / (1 + np.exp(-np.clip(x @ weights + model.bias, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*batch.schema.names, "toxicity"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(given_back(run), schema)
