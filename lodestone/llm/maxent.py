@@ -1,8 +1,9 @@
 """Language-model scores by a hashed maximum-entropy model with class-factored softmax.
 
 P(word | history) = P(class | history) P(word | class). The class comes from a softmax over hashed features of the
-words before: the last word, the one before it and the third last (skips), and the last two together. Words within a
-class have their training frequencies, the softmax of a word's own bias. Classes are clusters of the frequent words by the company they keep
+words before: the last word, the one before it and the third last (skips), and the last two together. Within a class the
+words are the leaves of a binary tree, Huffman's, and every turn on the way to a word is a logistic decision with hashed features of
+the turn and the same words before. Untrained, the turns give words their training frequencies; any weights leave a distribution. Classes are clusters of the frequent words by the company they keep
 in documents, split by frequency; the end of a text and all words that aren't frequent have a class each, and the latter
 share it by add-one counts, so that with one unknown word the probabilities add up to one.
 
@@ -18,11 +19,12 @@ classes; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,8 @@ from lodestone.llm.common import ASCII_LOWER, WordCache, crc32_mod, materialize
 
 END = b""  # no word is empty
 TEMPLATES = 4
+TASKS_A_CORE = 4
+WIDE = 1 << 24  # numbers of a history before they are dealt to slots
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -63,7 +67,10 @@ def _count(most: int = 300_000):
 
 @dataclass(frozen=True)
 class Shape:
-    """head: frequent words at most. anchors: of these, words whose company makes the profiles. clusters, bands: classes are clusters by frequency bands. slots: hashed features of a template."""
+    """head: frequent words at most. anchors: of these, words whose company makes the profiles. clusters, bands: classes are clusters by frequency bands. slots: hashed features of a template.
+
+    turns: hashed features of a template in the trees, a power of two. turn_rate: the trees' step.
+    """
 
     head: int = 32_768
     anchors: int = 32
@@ -72,6 +79,8 @@ class Shape:
     slots: int = 8192
     rate: float = 0.3
     batch: int = 8192
+    turns: int = 1 << 18
+    turn_rate: float = 0.1
 
 
 class Indexer:
@@ -114,14 +123,16 @@ def _parts(total: np.ndarray, n: int = 64) -> Iterator[pa.RecordBatch]:
 
 
 def _summed(parts: DataFrame, shape: tuple[int, ...], mean: bool) -> np.ndarray | None:
-    """The sum or mean of the tasks' arrays."""
+    """The sum of the tasks' arrays, or each number's mean over the tasks where it isn't 0."""
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("task")
         total = np.zeros(len(group["data"].iloc[0]) // 4, np.float64)
+        moved = np.zeros(len(total), np.int32)
         for data in group["data"]:
             total += np.frombuffer(data, np.float32)
-        return pd.DataFrame({"part": [group["part"].iloc[0]], "data": [(total / (len(group) if mean else 1)).astype(np.float32).tobytes()]})
+            moved += np.frombuffer(data, np.float32) != 0
+        return pd.DataFrame({"part": [group["part"].iloc[0]], "data": [(total / (np.maximum(moved, 1) if mean else 1)).astype(np.float32).tobytes()]})
 
     rows = parts.groupBy("part").applyInPandas(add, "part int, data binary").collect()
     if not rows:
@@ -164,9 +175,81 @@ def classes(head: list[bytes], counts: np.ndarray, profiles: np.ndarray | None,
     return out
 
 
+@dataclass(frozen=True)
+class Trees:
+    """A binary tree of each class's leaves. first: where a leaf's way begins in turns and signs (1 or -1), and the end. bias: of each turn. weights: TEMPLATES x Shape.turns."""
+
+    first: np.ndarray
+    turns: np.ndarray
+    signs: np.ndarray
+    bias: np.ndarray
+    weights: np.ndarray
+
+    def ways(self, leaves: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Of all turns on the ways to the leaves: which leaf of those given, number, sign and hashed features. keys: wide history of the leaves."""
+        begin = self.first[leaves]
+        n = self.first[leaves + 1] - begin
+        token = np.repeat(np.arange(len(leaves)), n)
+        at = np.arange(len(token)) + np.repeat(begin - np.cumsum(n) + n, n)
+        turns = self.turns.take(at, mode="clip") if len(at) else self.turns[:0]
+        mixed, shift = turns.astype(np.uint32) * np.uint32(0x85EBCA6B), np.uint32(33 - self.weights.shape[1].bit_length())
+        words = keys.astype(np.uint32) * np.uint32(0x9E3779B1)
+        return token, turns, self.signs[at], [((np.repeat(w, n) ^ mixed) * np.uint32(0xC2B2AE35) >> shift).astype(np.intp) for w in words]
+
+    def lean(self, weights: np.ndarray, turns: np.ndarray, signs: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
+        """How far each turn leans to the side that its sign asks for."""
+        z = self.bias.take(turns, mode="clip") if len(turns) else np.zeros(0, np.float32)
+        for k in range(TEMPLATES):
+            z += weights[k].take(slots[k], mode="clip")
+        return np.clip(z, -30, 30) * signs
+
+    def log_share(self, leaves: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Log-probability of each leaf within its class."""
+        token, turns, signs, slots = self.ways(leaves, keys)
+        return -np.bincount(token, np.log1p(np.exp(-self.lean(self.weights, turns, signs, slots))), len(leaves))
+
+    def step(self, weights: np.ndarray, scale: np.ndarray, leaves: np.ndarray, keys: np.ndarray, rate: float) -> None:
+        """A gradient step towards the leaves; changes weights and scale."""
+        _, turns, signs, slots = self.ways(leaves, keys)
+        slope = signs / (1 + np.exp(self.lean(weights, turns, signs, slots)))
+        size, slope = slope * slope, slope * np.float32(rate)
+        for k in range(TEMPLATES):
+            np.add.at(scale[k], slots[k], size)
+            np.add.at(weights[k], slots[k], slope / np.sqrt(scale[k].take(slots[k], mode="clip")))
+
+
+def grow(own: np.ndarray, mass: np.ndarray, turns: int) -> Trees:
+    """Huffman's tree of each class. own, mass: class and count of each leaf."""
+    n = len(own)
+    parent, side = np.full(2 * n, -1), np.zeros(2 * n, np.float32)
+    bias, node = [], n
+    for k in np.unique(own):
+        heap = [(float(mass[i]), int(i)) for i in np.flatnonzero(own == k)]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[i] = parent[j] = node
+            side[i], side[j] = 1, -1
+            bias.append(math.log(a / b))
+            heapq.heappush(heap, (a + b, node))
+            node += 1
+    leaf, at, steps = np.arange(n), np.arange(n), []
+    while True:
+        below = parent[at] >= 0
+        leaf, at = leaf[below], at[below]
+        if not len(at):
+            break
+        steps.append((leaf, parent[at] - n, side[at]))
+        at = parent[at]
+    leaf, turn, sign = (np.concatenate([s[k] for s in steps]) if steps else np.zeros(0, np.int64) for k in range(3))
+    order = np.argsort(leaf, kind="stable")
+    first = np.concatenate(([0], np.cumsum(np.bincount(leaf, minlength=n))))
+    return Trees(first, turn[order].astype(np.int32), sign[order].astype(np.float32), np.array(bias, np.float32), np.zeros((TEMPLATES, turns), np.float32))
+
+
 @dataclass(frozen=True)
 class Model:
-    """weights: TEMPLATES x slots x classes. own: class of each head word. inner: log10 P(word | class) of head words. base: log10(count + 1) of them."""
+    """weights: TEMPLATES x slots x classes. own: class of each head word. inner: log10 P(word | class) of head words by frequency, where the trees begin. base: log10(count + 1) of them. trees: leaves are the head words."""
 
     shape: Shape
     head: list[bytes]
@@ -175,6 +258,7 @@ class Model:
     base: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
+    trees: Trees | None = None
 
     def n_classes(self) -> int:
         return len(self.bias)
@@ -207,13 +291,13 @@ def _log_share(z: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 def _batches(batches: Iterator[pa.RecordBatch], index: Indexer, shape: Shape, column: int = 0):
-    """(ids, features, texts' lengths, their words) of about shape.batch tokens."""
+    """(ids, wide history) of about shape.batch tokens."""
     held, n = [], 0
     for batch in batches:
         for text in batch.column(column):
             words = tokens(text.as_py())
             ids = index(words)
-            held.append((ids, history(ids, shape.slots)))
+            held.append((ids, history(ids, WIDE)))
             n += len(ids)
             if n >= shape.batch:
                 yield np.concatenate([i for i, _ in held]), np.concatenate([f for _, f in held], axis=1)
@@ -223,16 +307,19 @@ def _batches(batches: Iterator[pa.RecordBatch], index: Indexer, shape: Shape, co
 
 
 def _train(model, shape: Shape):
-    """Gradient steps over a task's rows. model: a broadcast Model."""
+    """How gradient steps over a task's rows move the weights of classes and trees. model: a broadcast Model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         weights, index, seen = m.weights.copy(), Indexer(m.head, shape), False
         scale = np.full(weights.shape[:2], 1.0, np.float32)
-        for ids, features in _batches(batches, index, shape):
-            own, seen = m.class_of(ids), True
+        inner, inner_scale = m.trees.weights.copy(), np.full(m.trees.weights.shape, 1.0, np.float32)
+        for ids, keys in _batches(batches, index, shape):
+            own, seen, features = m.class_of(ids), True, keys % shape.slots
             for at in range(0, len(ids), shape.batch):
-                f, c = features[:, at : at + shape.batch], own[at : at + shape.batch]
+                f, c, i = features[:, at : at + shape.batch], own[at : at + shape.batch], ids[at : at + shape.batch]
+                known = i < len(m.head)
+                m.trees.step(inner, inner_scale, i[known], keys[:, at : at + shape.batch][:, known], shape.turn_rate)
                 slope = np.exp(_logits(weights, m.bias, f))
                 slope /= slope.sum(axis=1, keepdims=True)
                 slope[np.arange(len(c)), c] -= 1
@@ -245,7 +332,7 @@ def _train(model, shape: Shape):
                     scale[k, slots] += np.add.reduceat(size[order], starts)
                     weights[k, slots] -= shape.rate * np.add.reduceat(slope[order], starts, axis=0) / np.sqrt(scale[k, slots])[:, None]
         if seen:
-            yield from _parts(weights)
+            yield from _parts(np.concatenate(((weights - m.weights).reshape(-1), (inner - m.trees.weights).reshape(-1))))
 
     return run
 
@@ -273,16 +360,20 @@ def fit(train: DataFrame, counts: DataFrame, total: int, shape: Shape, rounds: t
     mass[0] = total - n.sum() + 1
     inner = np.log10(n / mass[own]) if len(head) else n
     bias = np.log((mass + 0.5) / (mass + 0.5).sum()).astype(np.float32)
-    model = Model(shape, head, own, inner, np.log10(n + 1), np.zeros((TEMPLATES, shape.slots, n_classes), np.float32), bias)
+    model = Model(shape, head, own, inner, np.log10(n + 1), np.zeros((TEMPLATES, shape.slots, n_classes), np.float32), bias, grow(own, n, shape.turns))
     context, before = train.sparkSession.sparkContext, 0
     fold = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(sum(rounds)))
     for share in rounds:
         sent = context.broadcast(model)
         part = train.filter((fold >= before) & (fold < before + share)).select("text")
-        weights = _summed(part.mapInArrow(_train(sent, shape), "part int, task int, data binary"), model.weights.shape, True)
+        # Few tasks, so that their weights stay small beside the rows.
+        part = part.coalesce(TASKS_A_CORE * context.defaultParallelism)
+        moved = _summed(part.mapInArrow(_train(sent, shape), "part int, task int, data binary"), (-1,), True)
         before += share
-        if weights is not None:
-            model = Model(shape, head, own, inner, model.base, weights, bias)
+        if moved is not None:
+            outer, within = np.split(moved, [model.weights.size])
+            trees = replace(model.trees, weights=model.trees.weights + within.reshape(model.trees.weights.shape))
+            model = replace(model, weights=model.weights + outer.reshape(model.weights.shape), trees=trees)
     return model
 
 
@@ -290,20 +381,24 @@ def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         index, shape = Indexer(m.head, m.shape), m.shape
-        inner, base, n_head = m.inner, m.base, len(m.head)
+        base, n_head = m.base, len(m.head)
         for batch in batches:
             held, sizes, rare, rare_n, lengths = [], [], [], [], []
             scores: list[np.ndarray] = []
 
             def flush() -> None:
                 if held:
-                    ids, features = np.concatenate([i for i, _ in held]), np.concatenate([f for _, f in held], axis=1)
-                    own = m.class_of(ids)
+                    ids, keys = np.concatenate([i for i, _ in held]), np.concatenate([k for _, k in held], axis=1)
+                    own, features = m.class_of(ids), keys % shape.slots
                     z = np.concatenate([_log_share(_logits(m.weights, m.bias, features[:, at : at + shape.batch]), own[at : at + shape.batch]) for at in range(0, len(ids), shape.batch)])
                     known = ids < n_head
                     near = np.where(known, ids, 0)
                     starts = np.cumsum([0, *(len(i) for i, _ in held[:-1])])
-                    score = z.astype(np.float64) / math.log(10) + (np.where(known, inner[near], 0) if n_head else 0)
+                    score = z.astype(np.float64)
+                    for at in range(0, len(ids), shape.batch):
+                        mine = at + np.flatnonzero(known[at : at + shape.batch])
+                        score[mine] += m.trees.log_share(ids[mine], keys[:, mine])
+                    score /= math.log(10)
                     scores.append(np.stack([np.add.reduceat(score, starts), np.add.reduceat(np.where(known, base[near], 0) if n_head else np.zeros(len(ids)), starts), np.add.reduceat(known.astype(np.float64), starts)]))
                     held.clear()
 
@@ -311,7 +406,7 @@ def _score(model):
             for text in batch.column(1):
                 words = tokens(text.as_py())
                 ids = index(words)
-                held.append((ids, history(ids, shape.slots)))
+                held.append((ids, history(ids, WIDE)))
                 sizes.append(len(ids))
                 few = Counter(words[k] for k in np.flatnonzero(ids >= n_head).tolist())
                 rare += few

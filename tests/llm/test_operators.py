@@ -278,6 +278,27 @@ def test_maxent_is_a_distribution():
     assert np.allclose(share[1] + share[2] * sum(10 ** model.inner[1:]) + share[0], 1)
 
 
+def test_maxent_trees_are_distributions():
+    draw = np.random.default_rng(2)
+    own = np.array([1, *draw.integers(2, 4, 40)])
+    n = draw.integers(1, 100, 41).astype(float)
+    trees, keys = maxent.grow(own, n, 64), np.repeat(draw.integers(0, maxent.WIDE, (4, 1)), 41, axis=1)
+    assert np.allclose(np.exp(trees.log_share(np.arange(41), keys)), n / np.bincount(own, n)[own])
+    trees.weights[:] = draw.normal(size=trees.weights.shape)
+    assert np.allclose(np.bincount(own, np.exp(trees.log_share(np.arange(41), keys)))[1:], 1)
+
+
+def test_maxent_order_within_a_class(spark):
+    draw = random.Random(8)
+    pairs = lambda step: " ".join(f"a{k} b{(k + step) % 12}" for k in draw.sample(range(12), 12))
+    held = [k for k in range(3000) if zlib.crc32(str(k).encode()) % 7 == 2]
+    rows = [(k, " ".join(pairs(0) for _ in range(8)), "s") for k in range(300) if k not in held]
+    rows += [(held[-1], pairs(0), "s"), (held[-2], pairs(5), "s")]
+    shape = maxent.Shape(head=64, anchors=4, clusters=1, bands=1, slots=256, batch=256)
+    score = {r["doc_id"]: r["score"] for r in maxent.score_documents(table(spark, rows), shape=shape).collect()}
+    assert score[held[-1]] > score[held[-2]] + 6
+
+
 def test_toxicity_grammar():
     reader = toxicity.Model({"idiot": 2.0}, {"scum": 1.0}).reader()
     of = lambda text: {k for k, x in zip(toxicity.KINDS, toxicity.match(text, reader)) if x}
