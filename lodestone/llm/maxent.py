@@ -4,8 +4,12 @@ P(word | history) = P(class | history) P(word | class). The class comes from a s
 words before: the last word, the one before it and the third last (skips), and the last two together. Within a class the
 words are the leaves of a binary tree, Huffman's, and every turn on the way to a word is a logistic decision with hashed features of
 the turn and the same words before. Untrained, the turns give words their training frequencies; any weights leave a distribution. Classes are clusters of the frequent words by the company they keep
-in documents, split by frequency; the end of a text and all words that aren't frequent have a class each, and the latter
-share it by add-one counts, so that with one unknown word the probabilities add up to one.
+in documents, split by frequency; the end of a text and all words that aren't frequent have a class each. The latter are dealt by
+hash to groups, the leaves of their class's tree, and share a group by add-one counts, so that with one unknown word a group the
+probabilities add up to one. As history every word counts by its own hash.
+
+The frequent words and the hashed features grow with the square root of the tokens, the groups with that of the distinct words
+(Shape.of); the number of classes is fixed, as the trees tell the words of a class apart.
 
 Everything that is counted covers all training rows: word counts by a distributed aggregate, the clusters' profiles and the
 gradient updates by one pass each. A round of training lets every task take gradient steps over its rows from the
@@ -69,7 +73,7 @@ def _count(most: int = 300_000):
 class Shape:
     """head: frequent words at most. anchors: of these, words whose company makes the profiles. clusters, bands: classes are clusters by frequency bands. slots: hashed features of a template.
 
-    turns: hashed features of a template in the trees, a power of two. turn_rate: the trees' step.
+    turns: hashed features of a template in the trees, a power of two. turn_rate: the trees' step. groups: of the words beyond the head.
     """
 
     head: int = 32_768
@@ -81,15 +85,23 @@ class Shape:
     batch: int = 8192
     turns: int = 1 << 18
     turn_rate: float = 0.1
+    groups: int = 64
+
+    @classmethod
+    def of(cls, total: int, kinds: int) -> Shape:
+        """The shape for so many training tokens and distinct words."""
+        power = lambda x: 1 << int(math.log2(max(x, 1)))
+        root = math.sqrt(total)
+        return cls(head=max(cls.head, int(4 * root)), slots=max(cls.slots, power(2 * root)), turns=max(cls.turns, power(64 * root)), groups=max(cls.groups, power(math.sqrt(kinds))))
 
 
 class Indexer:
-    """Words to numbers: the head by rank, any other word to head + a hash."""
+    """Words to numbers: the head by rank, any other word to head + its hash."""
 
     def __init__(self, head: list[bytes], shape: Shape):
         rank = {w: k for k, w in enumerate(head)}
-        n, slots = shape.head, shape.slots
-        self.words = WordCache(lambda w: rank[w] if w in rank else n + zlib.crc32(w) % slots)
+        n = shape.head
+        self.words = WordCache(lambda w: rank[w] if w in rank else n + zlib.crc32(w))
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
@@ -249,7 +261,7 @@ def grow(own: np.ndarray, mass: np.ndarray, turns: int) -> Trees:
 
 @dataclass(frozen=True)
 class Model:
-    """weights: TEMPLATES x slots x classes. own: class of each head word. inner: log10 P(word | class) of head words by frequency, where the trees begin. base: log10(count + 1) of them. trees: leaves are the head words."""
+    """weights: TEMPLATES x slots x classes. own: class of each head word. inner: log10 P(word | class) of head words by frequency, where the trees begin. base: log10(count + 1) of them. trees: leaves are the head words, then the groups of others. shared: log10 of the groups' add-one counts."""
 
     shape: Shape
     head: list[bytes]
@@ -259,10 +271,14 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     trees: Trees | None = None
+    shared: np.ndarray | None = None
 
     def n_classes(self) -> int:
         return len(self.bias)
 
+    def leaf_of(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids < len(self.own), ids, len(self.own) + (ids - self.shape.head) % self.shape.groups)
+
     def class_of(self, ids: np.ndarray) -> np.ndarray:
         return np.where(ids < len(self.own), self.own[np.minimum(ids, max(len(self.own) - 1, 0))] if len(self.own) else 0, 0)
 
@@ -318,14 +334,13 @@ def _train(model, shape: Shape):
             own, seen, features = m.class_of(ids), True, keys % shape.slots
             for at in range(0, len(ids), shape.batch):
                 f, c, i = features[:, at : at + shape.batch], own[at : at + shape.batch], ids[at : at + shape.batch]
-                known = i < len(m.head)
-                m.trees.step(inner, inner_scale, i[known], keys[:, at : at + shape.batch][:, known], shape.turn_rate)
+                m.trees.step(inner, inner_scale, m.leaf_of(i), keys[:, at : at + shape.batch], shape.turn_rate)
                 slope = np.exp(_logits(weights, m.bias, f))
                 slope /= slope.sum(axis=1, keepdims=True)
                 slope[np.arange(len(c)), c] -= 1
                 size = np.einsum("ij,ij->i", slope, slope)
                 for k in range(TEMPLATES):
-                    order = np.argsort(f[k].astype(np.uint16), kind="stable")
+                    order = np.argsort(f[k].astype(np.min_scalar_type(shape.slots - 1)), kind="stable")
                     placed = f[k][order]
                     starts = np.flatnonzero(np.concatenate(([True], placed[1:] != placed[:-1])))
                     slots = placed[starts]
@@ -353,21 +368,27 @@ def fit(train: DataFrame, counts: DataFrame, total: int, shape: Shape, rounds: t
     """train: doc_id, text of the training rows. counts: word, n. rounds: shares of the rows that each round uses."""
     top = _most_frequent(counts, shape.head)
     head, n = [bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.float64)
-    profiles = _summed(train.select("text").mapInArrow(_profiles(head, shape), "part int, task int, data binary"), (shape.head, shape.anchors), False)
+    context = train.sparkSession.sparkContext
+    few = TASKS_A_CORE * context.defaultParallelism  # tasks, so that their arrays stay small beside the rows
+    profiles = _summed(train.select("text").coalesce(few).mapInArrow(_profiles(head, shape), "part int, task int, data binary"), (shape.head, shape.anchors), False)
     own = classes(head, n, profiles, shape)
     n_classes = 2 + shape.clusters * shape.bands
     mass = np.bincount(own, n, minlength=n_classes) if len(head) else np.zeros(n_classes)
     mass[0] = total - n.sum() + 1
     inner = np.log10(n / mass[own]) if len(head) else n
+    grouped = np.ones(shape.groups)
+    for r in counts.groupBy((F.crc32("word") % shape.groups).alias("at")).agg((F.sum("n") + F.count("*")).alias("n")).collect():
+        grouped[r["at"]] += r["n"]
+    np.subtract.at(grouped, np.array([zlib.crc32(w) % shape.groups for w in head], int), n + 1)
+    trees = grow(np.concatenate((own, np.zeros(shape.groups, own.dtype))), np.concatenate((n, grouped)), shape.turns)
     bias = np.log((mass + 0.5) / (mass + 0.5).sum()).astype(np.float32)
-    model = Model(shape, head, own, inner, np.log10(n + 1), np.zeros((TEMPLATES, shape.slots, n_classes), np.float32), bias, grow(own, n, shape.turns))
-    context, before = train.sparkSession.sparkContext, 0
+    model = Model(shape, head, own, inner, np.log10(n + 1), np.zeros((TEMPLATES, shape.slots, n_classes), np.float32), bias, trees, np.log10(grouped))
+    before = 0
     fold = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(sum(rounds)))
     for share in rounds:
         sent = context.broadcast(model)
         part = train.filter((fold >= before) & (fold < before + share)).select("text")
-        # Few tasks, so that their weights stay small beside the rows.
-        part = part.coalesce(TASKS_A_CORE * context.defaultParallelism)
+        part = part.coalesce(few)
         moved = _summed(part.mapInArrow(_train(sent, shape), "part int, task int, data binary"), (-1,), True)
         before += share
         if moved is not None:
@@ -395,10 +416,10 @@ def _score(model):
                     near = np.where(known, ids, 0)
                     starts = np.cumsum([0, *(len(i) for i, _ in held[:-1])])
                     score = z.astype(np.float64)
+                    leaves = m.leaf_of(ids)
                     for at in range(0, len(ids), shape.batch):
-                        mine = at + np.flatnonzero(known[at : at + shape.batch])
-                        score[mine] += m.trees.log_share(ids[mine], keys[:, mine])
-                    score /= math.log(10)
+                        score[at : at + shape.batch] += m.trees.log_share(leaves[at : at + shape.batch], keys[:, at : at + shape.batch])
+                    score = score / math.log(10) - np.where(known, 0, m.shared[np.maximum(leaves - n_head, 0)])
                     scores.append(np.stack([np.add.reduceat(score, starts), np.add.reduceat(np.where(known, base[near], 0) if n_head else np.zeros(len(ids)), starts), np.add.reduceat(known.astype(np.float64), starts)]))
                     held.clear()
 
@@ -425,28 +446,26 @@ def _score(model):
     return run
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: Shape = Shape(), rounds: tuple[int, ...] = (1, 3)) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: Shape | None = None, rounds: tuple[int, ...] = (1, 3)) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row, learned from the rows whose crc32(doc_id as text) mod folds isn't held_out.
 
-    base_score: log10 probability under add-one counts of single tokens. score: under the model.
+    base_score: log10 probability under add-one counts of single tokens. score: under the model. Without a shape, it follows the counts.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     train = docs.filter(crc32_mod(F.col("doc_id"), folds) != held_out)
     counts = materialize(train.select("text").mapInArrow(_count(), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
     stats = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, kinds = int(stats[0]), int(stats[1])
-    model = fit(train, counts, total, shape, rounds)
-    head_total = sum(round(10**b) - 1 for b in model.base)
+    model = fit(train, counts, total, shape or Shape.of(total, kinds), rounds)
     base_log = math.log10(total + kinds + 1)
-    rare_log = math.log10(total - head_total + kinds - len(model.head) + 1)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, n_tokens long, score double, base double, known long, rare array<struct<word: binary, times: int>>"
     partial = materialize(docs.mapInArrow(_score(sent), schema).withColumn("row", F.monotonically_increasing_id()), "partial")
     rare = partial.select("row", F.inline("rare")).join(counts.hint("shuffle_hash"), "word", "left")
     times, n = F.col("times"), F.coalesce("n", F.lit(0))
-    tails = rare.groupBy("row").agg(F.sum(times * F.log10(n + 1)).alias("tail"), F.sum(F.when(n > 0, times).otherwise(0)).alias("tail_known"), F.sum(times).alias("tail_n"))
+    tails = rare.groupBy("row").agg(F.sum(times * F.log10(n + 1)).alias("tail"), F.sum(F.when(n > 0, times).otherwise(0)).alias("tail_known"))
     joined = partial.drop("rare").join(tails, "row", "left")
-    tail, tail_n = F.coalesce("tail", F.lit(0.0)), F.coalesce("tail_n", F.lit(0))
+    tail = F.coalesce("tail", F.lit(0.0))
     return joined.select(
         "doc_id",
         (crc32_mod(F.col("doc_id"), folds) == held_out).alias("held_out"),
@@ -454,5 +473,5 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: S
         (F.col("known") + F.coalesce("tail_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + tail - F.col("n_tokens") * F.lit(base_log)).alias("base_score"),
-        (F.col("score") + tail - tail_n * F.lit(rare_log)).alias("score"),
+        (F.col("score") + tail).alias("score"),
     )

@@ -288,17 +288,31 @@ def test_maxent_trees_are_distributions():
     assert np.allclose(np.bincount(own, np.exp(trees.log_share(np.arange(41), keys)))[1:], 1)
 
 
-def test_maxent_order_within_a_class(spark):
+@pytest.mark.parametrize("head", [64, 4])
+def test_maxent_order_within_a_class(spark, head):
     draw = random.Random(8)
     pairs = lambda step: " ".join(f"a{k} b{(k + step) % 12}" for k in draw.sample(range(12), 12))
     held = [k for k in range(3000) if zlib.crc32(str(k).encode()) % 7 == 2]
     rows = [(k, " ".join(pairs(0) for _ in range(8)), "s") for k in range(300) if k not in held]
     rows += [(held[-1], pairs(0), "s"), (held[-2], pairs(5), "s")]
-    shape = maxent.Shape(head=64, anchors=4, clusters=1, bands=1, slots=256, batch=256)
+    shape = maxent.Shape(head=head, anchors=4, clusters=1, bands=1, slots=256, batch=256)
     score = {r["doc_id"]: r["score"] for r in maxent.score_documents(table(spark, rows), shape=shape).collect()}
     assert score[held[-1]] > score[held[-2]] + 6
 
 
+def test_maxent_grows(spark):
+    small, large = maxent.Shape.of(0, 0), maxent.Shape.of(5_000_000_000, 200_000_000)
+    assert small == maxent.Shape() and large.head > 8 * small.head and large.slots > 8 * small.slots > 65_536 // 2 and large.turns > 8 * small.turns and large.groups > 8 * small.groups
+    counts = {f"w{k}".encode(): 1 + k for k in range(200)}
+    rows = spark.createDataFrame(list(counts.items()), "word binary, n long")
+    shape = maxent.Shape(head=20, anchors=2, clusters=1, bands=1, slots=1 << 17, groups=16, batch=256)
+    model = maxent.fit(table(spark, [(1, "w1 w2", "s")]), rows, sum(counts.values()), shape)
+    sums = Counter({k: 1 for k in range(16)})
+    for w, n in counts.items():
+        sums[zlib.crc32(w) % 16] += (n + 1) * (w not in model.head)
+    assert 0 < len(model.head) <= 20 and np.allclose(10**model.shared, [sums[k] for k in range(16)])
+
+
 def test_toxicity_grammar():
     reader = toxicity.Model({"idiot": 2.0}, {"scum": 1.0}).reader()
     of = lambda text: {k for k, x in zip(toxicity.KINDS, toxicity.match(text, reader)) if x}
