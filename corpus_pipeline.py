@@ -25,13 +25,15 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id, and of rows that repeat it the one with the smallest text."""
-    found = minhash.near_duplicates(docs)
-    out = found.filter("not kept").select(F.col("doc_id").alias("__copy")).distinct()
-    left = docs.join(out, docs["doc_id"] == out["__copy"], "left_anti")
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    """One document of each group of near duplicates: the one with the smallest id, and of those that repeat it the one with the smallest text. Of rows that repeat both id and text, one stays."""
+    dealt = docs.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    keyed = materialize(dealt.withColumn("__row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "keyed")  # in the order of ids and texts
+    found = minhash.near_duplicates(keyed.select(F.col("__row").alias("doc_id"), "text"))
+    out = found.filter("not kept").select(F.col("doc_id").alias("__copy"))
+    left = keyed.join(out, keyed["__row"] == out["__copy"], "left_anti")
+    turn = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text"), "text").orderBy("__row"))
     with_id = left.filter(F.col("doc_id").isNotNull()).withColumn("__turn", turn).filter("__turn = 1").select(*docs.columns)
-    return with_id.union(left.filter(F.col("doc_id").isNull()))
+    return with_id.union(left.filter(F.col("doc_id").isNull()).select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,3 +52,13 @@ def test_stages(spark, tmp_path):
     whole = corpus_pipeline.run(spark, d).collect()
     key = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])
     assert sorted(map(key, whole)) == sorted(map(key, packed))
+
+
+def test_near_duplicates_by_row(spark):
+    draw = random.Random(3)
+    text = lambda: " ".join(f"w{draw.randrange(3000)}" for _ in range(40))
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, b + " more"), (4, ""), (4, ""), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = sorted(((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()))
+    assert left == sorted([(1, a), (2, b), (3, c), (4, ""), (0, a), (0, a)])
