@@ -38,8 +38,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"]))
+    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    taken = mixing.mix(keyed, carry=("__row",)).select(F.col("__row").alias("__taken"), F.col("copies").alias("__copies"))
+    joined = keyed.join(taken, F.col("__row") == F.col("__taken"))
     return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
 
 

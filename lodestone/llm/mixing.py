@@ -74,16 +74,16 @@ def systematic_copies(rows: DataFrame, order: list[str], seed: int = 0) -> DataF
     return joined.withColumn("copies", crossed).drop("_source", "_part", "part", "row", "upto", "start", "expected")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
-    """doc_id, size, source_size, target, taken and copies of every document.
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies, source and the columns of carry, of every document.
 
     Sizes are words. share: the mix's size as a part of all sizes. most: the copies no document exceeds.
     """
-    sized = docs.select(F.col("doc_id").cast("long"), "source", n_words(F.col("text")).alias("size"))
+    sized = docs.select(F.col("doc_id").cast("long"), "source", n_words(F.col("text")).alias("size"), *carry)
     sized = materialize(sized, "sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     rate = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * UNIT)).otherwise(0).cast("long")
     rates = targets.select(F.col("source").alias("s"), "source_size", "target", F.least(rate, F.lit(int(most * UNIT))).alias("expected"))
     rows = sized.join(rates, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     out = systematic_copies(rows, ["size", "hash", "doc_id"], seed)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), F.col("copies").cast("int").alias("copies"), "source")
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), F.col("copies").cast("int").alias("copies"), "source", *carry)

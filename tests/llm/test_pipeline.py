@@ -62,3 +62,13 @@ def test_near_duplicates_by_row(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     left = sorted(((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()))
     assert left == sorted([(1, a), (2, b), (3, c), (4, ""), (0, a), (0, a)])
+
+
+def test_mixing_by_row(spark):
+    rows = [(None, "w " * (5 + k), f"s{k % 3}") for k in range(40)] + [(k % 4, "w " * (50 + k), f"s{k % 3}") for k in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    due = {}
+    for r in mixing.mix(docs).collect():
+        due[r["source"], r["size"]] = r["copies"]
+    taken = [(r["source"], len(r["text"].split())) for r in corpus_pipeline.mix_sources(spark, docs, "").collect()]
+    assert len(due) == 60 and {k: taken.count(k) for k in due} == due
