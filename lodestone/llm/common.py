@@ -18,11 +18,17 @@ ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir of the session, or a temporary one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder that driver and executors share: spark.checkpoint.dir of the session, or the context's checkpoint folder.
+
+    Where neither is set, a local master, which has one machine, gets a temporary checkpoint folder; a cluster gets an error.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lodestone_")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lodestone_"))
+        found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
@@ -51,16 +57,30 @@ def given_back(run):
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back, which cuts the lineage and survives lost executors.
 
-    The files go when the driver's JVM ends.
+    The files go with release(), or when the driver's JVM ends.
     """
     spark = df.sparkSession
     lean_batches(spark)
     path = f"{shared_dir(spark)}/lodestone/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    _filesystem(spark, path).deleteOnExit(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def _filesystem(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete the files of stored tables that nothing will read again. Other tables are left alone."""
+    for table in tables:
+        path = getattr(table, "_stored_at", None)
+        if path:
+            spark = table.sparkSession
+            _filesystem(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
 def ascii_lower(col: Column) -> Column:
@@ -96,10 +116,15 @@ class WordCache(dict):
 def hash_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """At most n rows of df, those whose keys hash lowest; all rows if there are no more.
 
-    A first cut by the hash leaves few rows more than n, so that no task sorts or sends n rows each.
+    A first cut by the hash leaves few rows more than n, so that no task sorts or sends n rows each. Where keys repeat, the
+    cut can leave fewer than n rows; it is then widened until n are left.
     """
-    order, total = F.xxhash64(*keys), df.count()
-    if total > n:
-        span = 1 << 40
-        df = df.filter(F.pmod(F.shiftright(order, 20), F.lit(span)) < F.lit(int(span * min(1.0, 1.2 * n / total + 100 / total))))
-    return df.orderBy(F.pmod(F.shiftright(order, 20), F.lit(1 << 40)), order, *keys).limit(n)
+    order, total = F.pmod(F.shiftright(F.xxhash64(*keys), 20), F.lit(1 << 40)), df.count()
+    share = 1.2 * n / max(total, 1) + 100 / max(total, 1)
+    while total > n and share < 1:
+        cut = df.filter(order < F.lit(int((1 << 40) * share)))
+        if cut.count() >= n:
+            df = cut
+            break
+        share *= 4
+    return df.orderBy(order, F.xxhash64(*keys), *keys).limit(n)

@@ -1,27 +1,49 @@
-"""Connected components of an edge table, without gathering any of it on the driver."""
+"""Connected components of an edge table, without gathering any of it on the driver.
+
+Randomised contraction: in each round every node moves to the neighbour, or itself, that comes first in an order drawn
+anew by hash; edges are rewritten to where their ends went, loops and repeats drop out, and the graph shrinks by a
+constant factor in expectation, whatever its shape. A round is one aggregate, which combines before its shuffle, and
+two equi-joins against a table with one row a node, so a hub costs no more than its edges. It ends when no edge is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import materialize
-
-
-def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
-    """node, component (the smallest node reachable) for every node of edges (a long, b long).
-
-    Each round takes the smallest label among the neighbours and then the label's own label, so paths halve. A round
-    is two equi-joins over stored tables; only the number of changed labels reaches the driver.
-    """
-    both = materialize(edges.filter("a != b").select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).distinct(), "edges")
-    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), "labels")
-    for _ in range(most_rounds):
-        seen = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        lower = materialize(seen.join(labels, seen.a == labels.node).select("node", F.least("label", "near").alias("label"), F.col("label").alias("before")), "lower")
-        over = lower.select(F.col("node").alias("at"), F.col("label").alias("further"))
-        labels = materialize(lower.join(over, lower.label == over["at"], "left").select("node", F.least("label", "further").alias("label"), "before"), "labels")
-        if not labels.filter("label != before").limit(1).count():
-            return labels.select("node", F.col("label").alias("component"))
-        labels = labels.select("node", "label")
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+from lodestone.llm.common import materialize, release
+
+
+def _contract(edges: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """moved (node, root) and the edges between different roots. edges: a < b, no repeats."""
+    order = lambda c: F.xxhash64(F.lit(turn), c)
+    both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+    first = both.groupBy("a").agg(F.min(F.struct(order(F.col("b")).alias("at"), F.col("b").alias("id"))).alias("first"))
+    own = F.struct(order(F.col("a")).alias("at"), F.col("a").alias("id"))
+    moved = materialize(first.select(F.col("a").alias("node"), F.least(own, "first")["id"].alias("root")), "moved")
+    one, two = (moved.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+    placed = edges.join(one, "a").join(two, "b").filter("root_a != root_b")
+    left = placed.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")).distinct()
+    return moved, materialize(left, "edges")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, component (the smallest node reachable) for every node of edges (a long, b long). The result is a stored table; a node that has loops only is left out."""
+    left = materialize(edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    rounds: list[DataFrame] = []
+    while not rounds or not left.isEmpty():
+        moved, after = _contract(left, len(rounds))
+        release(left)
+        rounds.append(moved)
+        left = after
+    release(left)
+    roots = rounds.pop()
+    while rounds:  # from the last round back: where each node's root went in the end
+        moved, further = rounds.pop(), roots.select(F.col("node").alias("root"), F.col("root").alias("last"))
+        after = materialize(moved.join(further, "root", "left").select("node", F.coalesce("last", "root").alias("root")), "roots")
+        release(moved, roots)
+        roots = after
+    least = roots.groupBy("root").agg(F.min("node").alias("component"))
+    out = materialize(roots.join(least, "root").select("node", "component"), "components")
+    release(roots)
+    return out

@@ -1,17 +1,24 @@
 """Near-duplicate documents by b-bit MinHash.
 
 A document is the set of its distinct word shingles. Its minima under n_bands * band_rows hash functions give band
-keys, for candidates, and a signature of the low bits of the remixed minima, for a collision-corrected estimate of
-the similarity by bit counts. Documents that share a band, directly or through others, form a block; inside a block
-pairs whose estimate is high enough are confirmed on their full sets, best estimates first, until the block's
-components are settled. Copies with equal sets count once, as the smallest id, until the end.
+keys, for candidates, and a packed signature of the low bits of the remixed minima, for a collision-corrected estimate
+of the similarity by bit counts. Copies with equal sets count once, as the smallest id, and get their component by a
+join at the end. Only pairs whose estimate is high enough are confirmed on their full sets:
+
+1. Every document is compared with the smallest id of each of its bands, and the one with the best estimate is
+   confirmed. A group of near copies is linked by one pair a document here, however large it is.
+2. Bands whose documents are in several components yet are compared across components, by falling levels of the estimate,
+   the links of a level before the candidates of the next. Bands are read in tiles of a fixed size, of which only those across
+   a band's largest component and the rest of it are made, and pairs are streamed, never gathered.
+
+Pairs are confirmed by the documents' ids: the first one's set is held, at most chunk others stream past it, and a
+document with more partners is dealt to several tasks. So no task's memory grows with a group or a band.
 
 With 24 bands of 4 rows a pair at similarity 0.8 shares no band once in 300,000 times; the estimate's margin is five
-standard errors. A block beyond block_docs documents or block_shingles shingles is cut into parts and every pair of
-parts is a task of its own, so no pair is left out and no task holds a much larger block than that.
+standard errors.
 
 Results for odd input: a null, empty or blank text has an empty set and is linked with nothing; a text with fewer words
-than a shingle has its whole sequence as the one shingle; rows that share an id are one document for linking; a row
+than a shingle has its whole sequence as the one shingle; rows that share an id and have words are one document for linking; a row
 without an id is linked with nothing and kept; an empty table gives no rows; other columns are ignored.
 """
 
@@ -21,12 +28,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import ASCII_LOWER, given_back, materialize, WordCache
+from lodestone.llm.common import ASCII_LOWER, given_back, materialize, release, WordCache
 from lodestone.llm.graph import components
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -56,7 +62,7 @@ class Shingler:
 
 
 class Signer:
-    """Band keys and packed low bits of the minima of a set."""
+    """Band keys and the packed low bits of the minima of a set: words longs for each bit plane, the last one padded by zeros."""
 
     def __init__(self, n_bands: int, band_rows: int, bits: int, seed: int = 1):
         draw = np.random.default_rng(seed)
@@ -64,6 +70,7 @@ class Signer:
         self.a = draw.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.b = draw.integers(0, 1 << 32, n, dtype=np.uint32)
         self.shape, self.bits = (n_bands, band_rows), bits
+        self.words = -(-n // 64)
         self.salt = np.arange(1, n_bands + 1, dtype=np.uint64) * _MIX[1]
 
     def minima(self, shingles: np.ndarray) -> np.ndarray:
@@ -73,121 +80,215 @@ class Signer:
             np.minimum(found, (low[at : at + 2048, None] * self.a + self.b).min(axis=0), out=found)
         return found
 
-    def __call__(self, shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+    def __call__(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         least = self.minima(shingles)
         keys = self.salt.copy()
         for column in least.reshape(self.shape).T.astype(np.uint64):
             keys = (keys ^ (keys >> _S[0])) * _MIX[0] + column
             keys = (keys ^ (keys >> _S[1])) * _MIX[1]
         low = (least * np.uint32(0x9E3779B1)) >> np.uint32(32 - self.bits)  # bits of the remixed minimum
-        planes = (low[:, None] >> np.arange(self.bits, dtype=np.uint32)) & np.uint32(1)
-        return (keys ^ (keys >> _S[2])).view(np.int64), np.packbits(planes.T.astype(np.uint8)).tobytes()
+        planes = np.zeros((self.bits, 64 * self.words), np.uint8)
+        planes[:, : len(low)] = (low >> np.arange(self.bits, dtype=np.uint32)[:, None]) & np.uint32(1)
+        return (keys ^ (keys >> _S[2])).view(np.int64), np.packbits(planes).view(np.int64)
 
 
-def estimates(one: np.ndarray, many: np.ndarray, bits: int) -> np.ndarray:
-    """Similarities of packed signatures, corrected for chance collisions. one: (i, 1, w), many: (1, j, w) of uint32, in bit planes."""
+def estimates(one: np.ndarray, many: np.ndarray, bits: int, minima: int) -> np.ndarray:
+    """Similarities of packed signatures, corrected for chance collisions. one: (i, 1, w), many: (1, j, w) of int64, in bit planes."""
     per = one.shape[-1] // bits
     differ = one[..., :per] ^ many[..., :per]
     for k in range(1, bits):
         differ = differ | (one[..., k * per : k * per + per] ^ many[..., k * per : k * per + per])
-    same = 1 - np.bitwise_count(differ).sum(axis=-1, dtype=np.int32) / (32 * per)
-    chance = 2.0**-bits
-    return (same - chance) / (1 - chance)
+    same = 1 - np.bitwise_count(differ.view(np.uint64)).sum(axis=-1, dtype=np.int32) / minima
+    return (same - 2.0**-bits) / (1 - 2.0**-bits)
+
+
+def estimate(one: str, other: str, bits: int, minima: int) -> Column:
+    """estimates() of the signatures in columns one and other, arrays of longs."""
+    per = -(-minima // 64)
+    differ = F.lit(0)
+    for k in range(per):
+        planes = [F.element_at(one, j * per + k + 1).bitwiseXOR(F.element_at(other, j * per + k + 1)) for j in range(bits)]
+        either = planes[0]
+        for plane in planes[1:]:
+            either = either.bitwiseOR(plane)
+        differ = differ + F.bit_count(either)
+    return (1 - differ / minima - 2.0**-bits) / (1 - 2.0**-bits)
 
 
 def features(docs: DataFrame, width: int, n_bands: int, band_rows: int, bits: int) -> DataFrame:
-    """doc_id, n (size of the set), set_key (16 bytes, equal for equal sets) and bands; no bands for an empty set."""
+    """doc_id, n (size of the set), set_key (16 bytes, equal for equal sets), bands and signature; neither of the last two for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(width), Signer(n_bands, band_rows, bits)
+        none = np.empty(0, np.int64)
+
+        def lists(arrays: list[np.ndarray]) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]).astype(np.int32)), pa.array(np.concatenate([none, *arrays])))
+
         for batch in batches:
-            sizes, keys, bands = [], [], []
+            sizes, keys, bands, signed = [], [], [], []
             for text in batch.column(1):
                 shingles = shingler(text.as_py())
                 sizes.append(len(shingles))
                 keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                bands.append(signer(shingles)[0] if len(shingles) else np.empty(0, np.int64))
-            offsets = np.cumsum([0, *map(len, bands)]).astype(np.int32)
-            flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n", "set_key", "bands"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(given_back(run), "doc_id long, n long, set_key binary, bands array<long>")
-
-
-def _find(parent: np.ndarray, x: int) -> int:
-    while parent[x] != x:
-        parent[x] = x = parent[parent[x]]
-    return x
-
-
-def settle(sets: list[np.ndarray], signer: Signer, per: int, of: int, margin: float, rows: int = 256) -> list[tuple[int, int]]:
-    """A spanning forest of the links among sets: pairs with of * intersection >= per * union."""
-    if len(sets) < 2:
-        return []
-    signatures = np.frombuffer(b"".join(signer(s)[1] for s in sets), np.uint32).reshape(len(sets), -1)
-    sizes = np.array([len(s) for s in sets])
-    firsts, seconds, guesses = [], [], []
-    for at in range(0, len(sets), rows):
-        guess = estimates(signatures[at : at + rows, None], signatures[None, at:], signer.bits)
-        small, large = np.minimum(sizes[at : at + rows, None], sizes[None, at:]), np.maximum(sizes[at : at + rows, None], sizes[None, at:])
-        i, j = np.nonzero((guess >= per / of - margin) & (of * small >= per * large) & (np.arange(len(sets) - at) > np.arange(len(guess))[:, None]))
-        firsts.append(i + at)
-        seconds.append(j + at)
-        guesses.append(guess[i, j].astype(np.float32))
-    first, second = np.concatenate(firsts), np.concatenate(seconds)
-    order = np.argsort(-np.concatenate(guesses), kind="stable")
-    parent, forest = np.arange(len(sets)), []
-    for i, j in zip(first[order].tolist(), second[order].tolist()):
-        x, y = _find(parent, i), _find(parent, j)
-        if x == y:
-            continue
-        both = np.concatenate((sets[i], sets[j]))
-        both.sort()
-        common = int(np.count_nonzero(both[1:] == both[:-1]))
-        if of * common >= per * (len(both) - common):
-            parent[max(x, y)] = min(x, y)
-            forest.append((i, j))
-    return forest
-
-
-def _linker(width: int, n_bands: int, band_rows: int, bits: int, per: int, of: int, margin: float):
-    shingler = None
-
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        nonlocal shingler
-        shingler = shingler or Shingler(width)
-        signer = Signer(n_bands, band_rows, bits)
-        ids = group["doc_id"].to_numpy()
-        forest = settle([shingler(t) for t in group["text"]], signer, per, of, margin)
-        return pd.DataFrame({"a": [ids[i] for i, _ in forest], "b": [ids[j] for _, j in forest]}, dtype="int64")
+                band, signature = signer(shingles) if len(shingles) else (none, none)
+                bands.append(band)
+                signed.append(signature)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists(bands), lists(signed)], ["doc_id", "n", "set_key", "bands", "signature"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(given_back(run), "doc_id long, n long, set_key binary, bands array<long>, signature array<long>")
+
+
+_HELD = "a long, salt int, role int, id long, text string"
+_PAIR = "a long, b long"
+
+
+def _confirm(width: int, per: int, of: int):
+    """Rows are sorted by a, salt and role: the texts of a (role 0), then those of its partners. Gives the pairs that are linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, current, held = Shingler(width), None, []
+        for batch in batches:
+            firsts, seconds = [], []
+            keys = zip(*(batch.column(k).to_pylist() for k in range(4)))
+            for (a, salt, role, b), text in zip(keys, batch.column(4)):
+                if (a, salt) != current:
+                    current, held = (a, salt), []
+                own = shingler(text.as_py())
+                if not len(own):
+                    continue
+                if role == 0:
+                    if not any(np.array_equal(own, x) for x in held):  # an id that is repeated with other texts has several sets
+                        held.append(own)
+                    continue
+                for x in held:
+                    if of * min(len(x), len(own)) < per * max(len(x), len(own)):
+                        continue
+                    common = int(np.count_nonzero(x[np.minimum(np.searchsorted(x, own), len(x) - 1)] == own))
+                    if of * common >= per * (len(x) + len(own) - common):
+                        firsts.append(a)
+                        seconds.append(b)
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, width: int, per: int, of: int, chunk: int = 1000, most_sent: int = 100_000) -> DataFrame:
+    """The pairs (a, b), a stored table, whose documents' full sets are similar enough.
+
+    chunk: partners of a that one task group reads. most_sent: rows up to which the list of texts to fetch is broadcast; beyond it the texts are shuffled.
+    """
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+    salted = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("salt"))
+    wanted = salted.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("id")).distinct().union(salted.select("a", "salt", F.lit(1), "b"))
+    if pairs.count() <= most_sent // 2:  # at most two rows a pair
+        wanted = F.broadcast(wanted)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    held = texts.join(wanted, F.col("doc_id") == F.col("id")).select("a", "salt", "role", "id", "text")
+    return held.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(given_back(_confirm(width, per, of)), _PAIR)
+
+
+def _across(bits: int, minima: int, per: int, of: int, least: float, below: float, rows: int = 256):
+    """Rows are sorted by band and tile, side 0 before side 1. Gives the pairs across components with least <= estimate < below."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sides = None, ([], [])
+
+        def found() -> Iterator[pa.RecordBatch]:
+            left, right = sides[0], sides[1] or sides[0]
+            if not left or not right:
+                return
+            ids, where, sizes, signed = (np.array([r[k] for r in right]) for k in range(4))
+            for at in range(0, len(left), rows):
+                i, w, n, s = (np.array([r[k] for r in left[at : at + rows]]) for k in range(4))
+                guess = estimates(s[:, None], signed[None], bits, minima)
+                small, large = np.minimum(n[:, None], sizes), np.maximum(n[:, None], sizes)
+                x, y = np.nonzero((guess >= least) & (guess < below) & (w[:, None] != where) & (of * small >= per * large))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[x], ids[y])), pa.array(np.maximum(i[x], ids[y]))], ["a", "b"])
+
+        for batch in batches:
+            band, i, j, side, *values = (c.to_pylist() for c in batch.columns)
+            for key, at, value in zip(zip(band, i, j), side, zip(*values)):
+                if key != current:
+                    yield from found()
+                    current, sides = key, ([], [])
+                sides[at].append(value)
+        yield from found()
 
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, per: int = 80, of: int = 100, n_bands: int = 24, band_rows: int = 4, bits: int = 2, margin: float = 0.25, block_docs: int = 20_000, block_shingles: int = 10_000_000) -> DataFrame:
+def across(members: DataFrame, labels: DataFrame, cards: DataFrame, tile: int, run) -> DataFrame:
+    """Candidate pairs of bands whose members are in several components. members: band, rep. labels: node, component. cards: rep, n, signature. run: from _across."""
+    named = members.join(labels, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
+    shares = named.groupBy("band", "component").agg(F.count("*").alias("n_own"))
+    largest = shares.groupBy("band").agg(F.max(F.struct("n_own", "component")).alias("top"), F.sum("n_own").alias("n_all")).filter("n_all > top.n_own")
+    parts = lambda n: F.ceil(n / tile).cast("int")
+    bounds = largest.select("band", F.col("top.component").alias("main"), parts(F.col("n_all") - F.col("top.n_own")).alias("few"), parts(F.col("top.n_own")).alias("many"))
+    placed = named.join(bounds, "band").withColumn("is_main", F.col("component") == F.col("main"))
+    part = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("many")).otherwise(F.col("few"))).cast("int")
+    where = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
+    minor = F.concat(  # the rest of the band by itself, and against the largest component
+        F.transform(F.sequence(F.col("part"), F.col("few") - 1), lambda j: where(F.col("part"), j, 0)),
+        F.filter(F.transform(F.sequence(F.lit(0), F.col("part")), lambda i: where(i, F.col("part"), 1)), lambda t: t["i"] != t["j"]),
+        F.transform(F.sequence(F.col("few"), F.col("few") + F.col("many") - 1), lambda j: where(F.col("part"), j, 0)),
+    )
+    main = F.transform(F.sequence(F.lit(0), F.col("few") - 1), lambda i: where(i, F.col("few") + F.col("part"), 1))
+    tiles = placed.withColumn("part", part).select("band", "rep", "component", F.inline(F.when(F.col("is_main"), main).otherwise(minor)))
+    rows = tiles.join(cards, "rep").select("band", "i", "j", "side", "rep", "component", "n", "signature")
+    return rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side").mapInArrow(given_back(run), _PAIR).distinct()
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, per: int = 80, of: int = 100, n_bands: int = 24, band_rows: int = 4, bits: int = 2, margin: float = 0.25, levels: tuple[float, ...] = (0.75,), chunk: int = 1000, tile: int = 4096) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs.
 
     Documents are linked if of * intersection >= per * union; component_id is the smallest doc_id reachable.
     width: words of a shingle. bits: low bits kept of each minimum. margin: how far below the threshold an estimate may be.
-    n_bands * band_rows must be a multiple of 32.
+    levels: estimates, falling, at which links are settled before weaker candidates are looked at. chunk, tile: partners of a document, and rows of a band's side, that one group reads.
     """
+    minima, least = n_bands * band_rows, per / of - margin
     found = materialize(features(docs, width, n_bands, band_rows, bits), "features")
-    classes = found.filter("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands"))
-    classes = materialize(classes, "classes")
+    usable = found.filter("n > 0 and doc_id is not null")
+    classes = materialize(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes")
+    cards = classes.select("rep", "n", "signature")
     banded = classes.select("rep", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub != last")
-    shared = banded.join(hubs, "band").select(F.col("rep").alias("a"), F.col("hub").alias("b")).filter("a != b").distinct()
-    blocks = components(shared)
-    held = blocks.join(classes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n")), "node")
-    sized = held.groupBy("component").agg(F.greatest(F.count("*") / block_docs, F.sum("n") / block_shingles).alias("load"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    pair = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.concat_ws("/", F.least(other, F.col("part")).cast("string"), F.greatest(other, F.col("part")).cast("string")))
-    alone = F.when(F.col("load") <= 1, F.array(F.lit("all"))).otherwise(pair)
-    placed = blocks.join(sized, "component").withColumn("parts", F.ceil(2 * F.col("load")).cast("int")).withColumn("part", part).select(F.col("node").alias("doc_id"), "component", F.explode(alone).alias("block"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    links = placed.join(texts, "doc_id").groupBy("component", "block").applyInPandas(_linker(width, n_bands, band_rows, bits, per, of, margin), "a long, b long")
-    copies = found.filter("n > 0 and doc_id is not null").join(classes.select("set_key", "rep"), "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a != b")
-    linked = components(links.union(copies))
-    out = found.select("doc_id", "n").join(linked, F.col("doc_id") == F.col("node"), "left")
-    component = F.coalesce("component", "doc_id")
+    members = materialize(banded.join(hubs, "band").select("band", "rep", "hub"), "members")
+
+    one, other = (cards.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("signature").alias(f"signature_{c}")) for c in "ab")
+    stars = members.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct().join(other, "b").join(one, "a")
+    guess = estimate("signature_a", "signature_b", bits, minima)
+    near = stars.withColumn("guess", guess).filter((F.col("guess") >= least) & (of * F.least("n_a", "n_b") >= per * F.greatest("n_a", "n_b")))
+    best = materialize(near.groupBy("b").agg(F.max(F.struct("guess", (-F.col("a")).alias("a"))).alias("best")).select((-F.col("best.a")).alias("a"), "b"), "pairs")
+    links = [materialize(confirm(best, docs, width, per, of, chunk), "links")]
+    release(best)
+
+    below = 2.0
+    for level in (*levels, least):
+        labels = components(_union(links))
+        pairs = materialize(across(members.select("band", "rep"), labels, cards, tile, _across(bits, minima, per, of, level, below)), "pairs")
+        release(labels)
+        below = level
+        if not pairs.isEmpty():
+            links.append(materialize(confirm(pairs, docs, width, per, of, chunk), "links"))
+        release(pairs)
+    release(members)
+
+    owners = classes.select("set_key", "rep")
+    repeated = usable.groupBy("doc_id").agg(F.min(F.xxhash64("set_key")).alias("low"), F.max(F.xxhash64("set_key")).alias("high")).filter("low != high").select("doc_id")
+    shared = usable.select("doc_id", "set_key").join(repeated, "doc_id").join(owners, "set_key")
+    same_id = materialize(shared.join(shared.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b")).distinct(), "same_id")
+    labels = components(_union([*links, same_id]))
+    release(*links, same_id)
+    placed = owners.join(labels, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
+    out = found.select("doc_id", "n", "set_key").join(placed, "set_key", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    first, *rest = tables
+    for table in rest:
+        first = first.union(table)
+    return first
