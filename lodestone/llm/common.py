@@ -54,12 +54,15 @@ def given_back(run):
     return wrapped
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back, which cuts the lineage and survives lost executors.
 
-    The files go with release(), or when the driver's JVM ends.
+    The files go with release(), or when the driver's JVM ends. rows: about how many narrow rows df has, where that is known:
+    a small table then isn't written by more tasks than it needs.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, ceil_div(rows, 200_000)))
     lean_batches(spark)
     path = f"{shared_dir(spark)}/lodestone/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

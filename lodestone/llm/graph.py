@@ -14,36 +14,37 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import materialize, release
 
 
-def _contract(edges: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """moved (node, root) and the edges between different roots. edges: a < b, no repeats."""
+def _contract(edges: DataFrame, n: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """moved (node, root) and the edges between different roots. edges: a < b, no repeats; n: how many."""
     order = lambda c: F.xxhash64(F.lit(turn), c)
     both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
     first = both.groupBy("a").agg(F.min(F.struct(order(F.col("b")).alias("at"), F.col("b").alias("id"))).alias("first"))
     own = F.struct(order(F.col("a")).alias("at"), F.col("a").alias("id"))
-    moved = materialize(first.select(F.col("a").alias("node"), F.least(own, "first")["id"].alias("root")), "moved")
+    moved = materialize(first.select(F.col("a").alias("node"), F.least(own, "first")["id"].alias("root")), "moved", n)
     one, two = (moved.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
     placed = edges.join(one, "a").join(two, "b").filter("root_a != root_b")
     left = placed.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")).distinct()
-    return moved, materialize(left, "edges")
+    return moved, materialize(left, "edges", n)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for every node of edges (a long, b long). The result is a stored table; a node that has loops only is left out."""
-    left = materialize(edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    n = edges.count()
+    left = materialize(edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges", n)
     rounds: list[DataFrame] = []
-    while not rounds or not left.isEmpty():
-        moved, after = _contract(left, len(rounds))
+    while not rounds or (n := left.count()):
+        moved, after = _contract(left, n, len(rounds))
         release(left)
         rounds.append(moved)
         left = after
     release(left)
-    roots = rounds.pop()
-    while rounds:  # from the last round back: where each node's root went in the end
-        moved, further = rounds.pop(), roots.select(F.col("node").alias("root"), F.col("root").alias("last"))
-        after = materialize(moved.join(further, "root", "left").select("node", F.coalesce("last", "root").alias("root")), "roots")
-        release(moved, roots)
-        roots = after
+    roots, nodes = rounds[0], rounds[0].count()
+    for moved in rounds[1:]:  # where each node's root went further
+        onward = moved.select(F.col("node").alias("root"), F.col("root").alias("last"))
+        roots = roots.join(onward, "root", "left").select("node", F.coalesce("last", "root").alias("root"))
+    roots = materialize(roots, "roots", nodes)
+    release(*rounds)
     least = roots.groupBy("root").agg(F.min("node").alias("component"))
-    out = materialize(roots.join(least, "root").select("node", "component"), "components")
+    out = materialize(roots.join(least, "root").select("node", "component"), "components", nodes)
     release(roots)
     return out

@@ -7,9 +7,10 @@ join at the end. Only pairs whose estimate is high enough are confirmed on their
 
 1. Every document is compared with the smallest id of each of its bands, and the one with the best estimate is
    confirmed. A group of near copies is linked by one pair a document here, however large it is.
-2. Bands whose documents are in several components yet are compared across components, by falling levels of the estimate,
-   the links of a level before the candidates of the next. Bands are read in tiles of a fixed size, of which only those across
-   a band's largest component and the rest of it are made, and pairs are streamed, never gathered.
+2. Bands whose documents are in several components yet are compared across components: in a first wave the few best
+   estimates of each document that isn't in its band's largest component, and, once their links are settled, all that is left.
+   Bands are read in tiles of a fixed size, of which those within a band's largest component are never made, and pairs
+   are streamed, never gathered.
 
 Pairs are confirmed by the documents' ids: the first one's set is held, at most chunk others stream past it, and a
 document with more partners is dealt to several tasks. So no task's memory grows with a group or a band.
@@ -189,8 +190,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, per: int, of: int, ch
     return held.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(given_back(_confirm(width, per, of)), _PAIR)
 
 
-def _across(bits: int, minima: int, per: int, of: int, least: float, below: float, rows: int = 256):
-    """Rows are sorted by band and tile, side 0 before side 1. Gives the pairs across components with least <= estimate < below."""
+def _across(bits: int, minima: int, per: int, of: int, least: float, top: int | None, rows: int = 256):
+    """Rows are sorted by band and tile, side 0 before side 1. Gives the pairs across components whose estimate is least or more; top: of each row of side 0 only so many, the best."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, sides = None, ([], [])
@@ -204,7 +205,13 @@ def _across(bits: int, minima: int, per: int, of: int, least: float, below: floa
                 i, w, n, s = (np.array([r[k] for r in left[at : at + rows]]) for k in range(4))
                 guess = estimates(s[:, None], signed[None], bits, minima)
                 small, large = np.minimum(n[:, None], sizes), np.maximum(n[:, None], sizes)
-                x, y = np.nonzero((guess >= least) & (guess < below) & (w[:, None] != where) & (of * small >= per * large))
+                guess[(w[:, None] == where) | (of * small < per * large)] = -1
+                if top and top < len(right):
+                    x, y = np.repeat(np.arange(len(left[at : at + rows])), top), np.argpartition(guess, -top)[:, -top:].reshape(-1)
+                    good = guess[x, y] >= least
+                    x, y = x[good], y[good]
+                else:
+                    x, y = np.nonzero(guess >= least)
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[x], ids[y])), pa.array(np.maximum(i[x], ids[y]))], ["a", "b"])
 
         for batch in batches:
@@ -240,12 +247,12 @@ def across(members: DataFrame, labels: DataFrame, cards: DataFrame, tile: int, r
     return rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side").mapInArrow(given_back(run), _PAIR).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, per: int = 80, of: int = 100, n_bands: int = 24, band_rows: int = 4, bits: int = 2, margin: float = 0.25, levels: tuple[float, ...] = (0.75,), chunk: int = 1000, tile: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, per: int = 80, of: int = 100, n_bands: int = 24, band_rows: int = 4, bits: int = 2, margin: float = 0.25, tries: int = 4, chunk: int = 1000, tile: int = 4096) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs.
 
     Documents are linked if of * intersection >= per * union; component_id is the smallest doc_id reachable.
     width: words of a shingle. bits: low bits kept of each minimum. margin: how far below the threshold an estimate may be.
-    levels: estimates, falling, at which links are settled before weaker candidates are looked at. chunk, tile: partners of a document, and rows of a band's side, that one group reads.
+    tries: candidates of a document in a tile that are settled before all others are looked at. chunk, tile: partners of a document, and rows of a band's side, that one group reads.
     """
     minima, least = n_bands * band_rows, per / of - margin
     found = materialize(features(docs, width, n_bands, band_rows, bits), "features")
@@ -264,22 +271,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, per: int = 80, of: int = 10
     links = [materialize(confirm(best, docs, width, per, of, chunk), "links")]
     release(best)
 
-    below = 2.0
-    for level in (*levels, least):
-        labels = components(_union(links))
-        pairs = materialize(across(members.select("band", "rep"), labels, cards, tile, _across(bits, minima, per, of, level, below)), "pairs")
-        release(labels)
-        below = level
-        if not pairs.isEmpty():
-            links.append(materialize(confirm(pairs, docs, width, per, of, chunk), "links"))
+    labels = components(links[0])
+    for top in (tries, None):
+        pairs = materialize(across(members.select("band", "rep"), labels, cards, tile, _across(bits, minima, per, of, least, top)), "pairs")
+        if pairs.isEmpty():
+            break  # where no document has a candidate, there is none
+        links.append(materialize(confirm(pairs, docs, width, per, of, chunk), "links"))
         release(pairs)
+        if not links[-1].isEmpty():
+            release(labels)
+            labels = components(_union(links))
     release(members)
 
     owners = classes.select("set_key", "rep")
     repeated = usable.groupBy("doc_id").agg(F.min(F.xxhash64("set_key")).alias("low"), F.max(F.xxhash64("set_key")).alias("high")).filter("low != high").select("doc_id")
     shared = usable.select("doc_id", "set_key").join(repeated, "doc_id").join(owners, "set_key")
     same_id = materialize(shared.join(shared.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b")).distinct(), "same_id")
-    labels = components(_union([*links, same_id]))
+    if not same_id.isEmpty():
+        release(labels)
+        labels = components(_union([*links, same_id]))
     release(*links, same_id)
     placed = owners.join(labels, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
