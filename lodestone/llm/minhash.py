@@ -2,7 +2,9 @@
 
 A document is the set of its distinct word shingles. Its minima under n_bands * band_rows hash functions give band
 keys, for candidates, and a packed signature of the low bits of the remixed minima, for a collision-corrected estimate
-of the similarity by bit counts. Copies with equal sets count once, as the smallest id, and get their component by a
+of the similarity by bit counts. An odd sketch beside it has a bit for the parity of each bucket of the set, so the bits in which two
+differ are at most the elements that one set has and the other hasn't; pairs that differ in too many aren't candidates, which
+loses nothing in short texts and less than one pair in a million in long ones. Copies with equal sets count once, as the smallest id, and get their component by a
 join at the end. Only pairs whose estimate is high enough are confirmed on their full sets:
 
 1. Every document is compared with the smallest id of each of its bands, and the one with the best estimate is
@@ -26,7 +28,9 @@ without an id is linked with nothing and kept; an empty table gives no rows; oth
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -63,15 +67,15 @@ class Shingler:
 
 
 class Signer:
-    """Band keys and the packed low bits of the minima of a set: words longs for each bit plane, the last one padded by zeros."""
+    """Band keys and signature of a set: the packed low bits of the minima, words longs for each bit plane, padded by zeros, then the odd sketch."""
 
-    def __init__(self, n_bands: int, band_rows: int, bits: int, seed: int = 1):
+    def __init__(self, n_bands: int, band_rows: int, bits: int, odd: int = 1024, seed: int = 1):
         draw = np.random.default_rng(seed)
         n = n_bands * band_rows
         self.a = draw.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.b = draw.integers(0, 1 << 32, n, dtype=np.uint32)
         self.shape, self.bits = (n_bands, band_rows), bits
-        self.words = -(-n // 64)
+        self.words, self.odd = -(-n // 64), odd
         self.salt = np.arange(1, n_bands + 1, dtype=np.uint64) * _MIX[1]
 
     def minima(self, shingles: np.ndarray) -> np.ndarray:
@@ -90,12 +94,13 @@ class Signer:
         low = (least * np.uint32(0x9E3779B1)) >> np.uint32(32 - self.bits)  # bits of the remixed minimum
         planes = np.zeros((self.bits, 64 * self.words), np.uint8)
         planes[:, : len(low)] = (low >> np.arange(self.bits, dtype=np.uint32)[:, None]) & np.uint32(1)
-        return (keys ^ (keys >> _S[2])).view(np.int64), np.packbits(planes).view(np.int64)
+        parity = np.bincount((shingles & np.uint64(self.odd - 1)).astype(np.intp), minlength=self.odd) & 1
+        return (keys ^ (keys >> _S[2])).view(np.int64), np.packbits(np.concatenate((planes.reshape(-1), parity.astype(np.uint8)))).view(np.int64)
 
 
 def estimates(one: np.ndarray, many: np.ndarray, bits: int, minima: int) -> np.ndarray:
-    """Similarities of packed signatures, corrected for chance collisions. one: (i, 1, w), many: (1, j, w) of int64, in bit planes."""
-    per = one.shape[-1] // bits
+    """Similarities of packed signatures, corrected for chance collisions. one: (i, 1, w), many: (1, j, w) of int64, bit planes first."""
+    per = -(-minima // 64)
     differ = one[..., :per] ^ many[..., :per]
     for k in range(1, bits):
         differ = differ | (one[..., k * per : k * per + per] ^ many[..., k * per : k * per + per])
@@ -116,11 +121,26 @@ def estimate(one: str, other: str, bits: int, minima: int) -> Column:
     return (1 - differ / minima - 2.0**-bits) / (1 - 2.0**-bits)
 
 
-def features(docs: DataFrame, width: int, n_bands: int, band_rows: int, bits: int) -> DataFrame:
+def _most_odd(both, per: int, of: int, odd: int, exp, least):
+    """How many bits the odd sketches of sets that are linked differ in, at most; both: the sum of their sizes.
+
+    No more than the elements not in common, and within five standard deviations of what so many leave of the sketch.
+    """
+    apart = both * (of - per) / (of + per)
+    return least(apart, odd / 2 * (1 - exp(-2 * apart / odd)) + 2.5 * math.sqrt(odd))
+
+
+def odd_apart(one: str, other: str, begin: int, odd: int) -> Column:
+    """Bits in which the odd sketches of the signatures differ."""
+    words = [F.bit_count(F.element_at(one, begin + k + 1).bitwiseXOR(F.element_at(other, begin + k + 1))) for k in range(odd // 64)]
+    return reduce(lambda a, b: a + b, words)
+
+
+def features(docs: DataFrame, width: int, n_bands: int, band_rows: int, bits: int, odd: int) -> DataFrame:
     """doc_id, n (size of the set), set_key (16 bytes, equal for equal sets), bands and signature; neither of the last two for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, signer = Shingler(width), Signer(n_bands, band_rows, bits)
+        shingler, signer = Shingler(width), Signer(n_bands, band_rows, bits, odd)
         none = np.empty(0, np.int64)
 
         def lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -190,8 +210,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, per: int, of: int, ch
     return held.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(given_back(_confirm(width, per, of)), _PAIR)
 
 
-def _across(bits: int, minima: int, per: int, of: int, least: float, top: int | None, rows: int = 256):
-    """Rows are sorted by band and tile, side 0 before side 1. Gives the pairs across components whose estimate is least or more; top: of each row of side 0 only so many, the best."""
+def _across(bits: int, minima: int, odd: int, per: int, of: int, least: float, top: int | None, rows: int = 64):
+    """Rows are sorted by band and tile, side 0 before side 1. Gives the pairs across components that may be linked by their estimate, which is least or more, and odd sketches; top: of each row of side 0 only so many, the best."""
+    begin = bits * -(-minima // 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, sides = None, ([], [])
@@ -205,13 +226,15 @@ def _across(bits: int, minima: int, per: int, of: int, least: float, top: int |
                 i, w, n, s = (np.array([r[k] for r in left[at : at + rows]]) for k in range(4))
                 guess = estimates(s[:, None], signed[None], bits, minima)
                 small, large = np.minimum(n[:, None], sizes), np.maximum(n[:, None], sizes)
-                guess[(w[:, None] == where) | (of * small < per * large)] = -1
-                if top and top < len(right):
-                    x, y = np.repeat(np.arange(len(left[at : at + rows])), top), np.argpartition(guess, -top)[:, -top:].reshape(-1)
-                    good = guess[x, y] >= least
-                    x, y = x[good], y[good]
-                else:
-                    x, y = np.nonzero(guess >= least)
+                x, y = np.nonzero((guess >= least) & (w[:, None] != where) & (of * small >= per * large))
+                apart = np.bitwise_count((s[x, begin:] ^ signed[y, begin:]).view(np.uint64)).sum(axis=1)
+                near = apart <= _most_odd(n[x] + sizes[y], per, of, odd, np.exp, np.minimum)
+                x, y = x[near], y[near]
+                if top:
+                    order = np.lexsort((-guess[x, y], x))
+                    x, y = x[order], y[order]
+                    turn = np.arange(len(x)) - np.searchsorted(x, x)
+                    x, y = x[turn < top], y[turn < top]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[x], ids[y])), pa.array(np.maximum(i[x], ids[y]))], ["a", "b"])
 
         for batch in batches:
@@ -247,15 +270,15 @@ def across(members: DataFrame, labels: DataFrame, cards: DataFrame, tile: int, r
     return rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side").mapInArrow(given_back(run), _PAIR).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, per: int = 80, of: int = 100, n_bands: int = 24, band_rows: int = 4, bits: int = 2, margin: float = 0.25, tries: int = 4, chunk: int = 1000, tile: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, per: int = 80, of: int = 100, n_bands: int = 24, band_rows: int = 4, bits: int = 2, odd: int = 1024, margin: float = 0.25, tries: int = 4, chunk: int = 1000, tile: int = 4096) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs.
 
     Documents are linked if of * intersection >= per * union; component_id is the smallest doc_id reachable.
-    width: words of a shingle. bits: low bits kept of each minimum. margin: how far below the threshold an estimate may be.
+    width: words of a shingle. bits: low bits kept of each minimum. odd: bits of the odd sketch, a power of two. margin: how far below the threshold an estimate may be.
     tries: candidates of a document in a tile that are settled before all others are looked at. chunk, tile: partners of a document, and rows of a band's side, that one group reads.
     """
     minima, least = n_bands * band_rows, per / of - margin
-    found = materialize(features(docs, width, n_bands, band_rows, bits), "features")
+    found = materialize(features(docs, width, n_bands, band_rows, bits, odd), "features")
     usable = found.filter("n > 0 and doc_id is not null")
     classes = materialize(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes")
     cards = classes.select("rep", "n", "signature")
@@ -266,14 +289,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, per: int = 80, of: int = 10
     one, other = (cards.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("signature").alias(f"signature_{c}")) for c in "ab")
     stars = members.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct().join(other, "b").join(one, "a")
     guess = estimate("signature_a", "signature_b", bits, minima)
-    near = stars.withColumn("guess", guess).filter((F.col("guess") >= least) & (of * F.least("n_a", "n_b") >= per * F.greatest("n_a", "n_b")))
+    begin = bits * -(-minima // 64)
+    alike = odd_apart("signature_a", "signature_b", begin, odd) <= _most_odd(F.col("n_a") + F.col("n_b"), per, of, odd, F.exp, F.least)
+    near = stars.withColumn("guess", guess).filter((F.col("guess") >= least) & (of * F.least("n_a", "n_b") >= per * F.greatest("n_a", "n_b")) & alike)
     best = materialize(near.groupBy("b").agg(F.max(F.struct("guess", (-F.col("a")).alias("a"))).alias("best")).select((-F.col("best.a")).alias("a"), "b"), "pairs")
     links = [materialize(confirm(best, docs, width, per, of, chunk), "links")]
     release(best)
 
     labels = components(links[0])
     for top in (tries, None):
-        pairs = materialize(across(members.select("band", "rep"), labels, cards, tile, _across(bits, minima, per, of, least, top)), "pairs")
+        pairs = materialize(across(members.select("band", "rep"), labels, cards, tile, _across(bits, minima, odd, per, of, least, top)), "pairs")
         if pairs.isEmpty():
             break  # where no document has a candidate, there is none
         links.append(materialize(confirm(pairs, docs, width, per, of, chunk), "links"))
