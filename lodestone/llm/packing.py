@@ -1,7 +1,9 @@
 """Best-fit packing of tokenized documents into fixed-length sequences.
 
-Bounded-space online best-fit: a task keeps a fixed number of open bins in a bitset keyed by free space, puts each
-piece into the fullest bin that can hold it, and closes the fullest bin when it needs room for a new one.
+Bounded-space online best-fit: a task takes its pieces as they come, in the order of a hash, and keeps a fixed number of open
+bins in a bitset keyed by free space. It puts each piece into the fullest bin that can hold it, and closes the fullest bin when it
+needs room for a new one. What the tasks leave open at their end is packed the same way once more by fewer tasks; as these
+pieces are few and known, the longest of them come first.
 
 Results for odd input: a null text counts as empty and gives one piece that holds the end token alone; a row with a
 null or repeated doc_id is packed like any other; an empty table gives no rows; other columns are ignored.
@@ -95,7 +97,7 @@ class OpenBins:
 
     def __init__(self, capacity: int, limit: int):
         self.capacity, self.limit = capacity, limit
-        self.bits, self.open, self.by_free = 0, 0, [[] for _ in range(capacity + 1)]
+        self.closed_early, self.bits, self.open, self.by_free = 0, 0, 0, [[] for _ in range(capacity + 1)]
 
     def _take(self, free: int) -> list:
         stack = self.by_free[free]
@@ -115,6 +117,7 @@ class OpenBins:
         else:
             if self.open >= self.limit:
                 closed = self._take((self.bits & -self.bits).bit_length() - 1)
+                self.closed_early += 1
             free, items = self.capacity, []
         items.append(item)
         free -= length
@@ -169,21 +172,21 @@ def _packer(capacity: int, open_bins: int, loose: int | None):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, open_bins: int = 16_384, pieces_per_task: int = 32_768, loose: int = 8) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, open_bins: int = 512, pieces_per_task: int = 32_768, loose: int = 8) -> DataFrame:
     """Assign pieces to sequences of at most capacity ids, gapless from offset 0.
 
-    Pieces are dealt at random over tasks of about pieces_per_task, which take the longest first, with bins enough for
-    those that fill more than half of one. Bins that a task leaves open and not nearly full
-    give their pieces back to a second, smaller round, so the loss doesn't grow with the number of tasks.
+    Pieces are dealt at random over tasks of about pieces_per_task, each with at most open_bins open bins. Bins that a task
+    leaves open and not nearly full give their pieces back to a second, smaller round, so the loss doesn't grow with the
+    number of tasks.
     Every piece of full length is a sequence of its own. pieces must be a stored table: it is read more than once.
     """
     columns = [F.col(x.split()[0]) for x in PIECE.split(", ")]
     order = F.xxhash64("doc_id", "piece", "ids_crc32", "start")
     part = pieces.filter(F.col("length") < capacity).select(*columns)
     tasks = max(1, ceil_div(part.count(), pieces_per_task))
-    first = materialize(part.repartition(tasks, order).sortWithinPartitions(F.desc("length"), order, "doc_id", "piece").mapInArrow(_packer(capacity, open_bins, loose), _PLACED), "packed")
+    first = materialize(part.repartition(tasks, order).sortWithinPartitions(order, "doc_id", "piece").mapInArrow(_packer(capacity, open_bins, loose), _PLACED), "packed")
     back = first.filter("open").select(*columns)
-    again = back.repartition(max(1, ceil_div(back.count(), 4 * pieces_per_task))).sortWithinPartitions(F.desc("length"), order, "doc_id", "piece").mapInArrow(_packer(capacity, 1 << 20, None), _PLACED)
+    again = back.repartition(max(1, ceil_div(back.count(), 4 * pieces_per_task))).sortWithinPartitions(F.desc("length"), order, "doc_id", "piece").mapInArrow(_packer(capacity, open_bins, None), _PLACED)
     out = [F.col("doc_id"), F.col("piece"), F.col("start"), F.col("length"), F.col("ids_crc32")]
     full = pieces.filter(F.col("length") >= capacity).select(*columns)
     return (

@@ -123,6 +123,48 @@ def test_open_bins_are_bounded_and_the_fullest_closes():
     assert bins.put("d", 4) == ["a", "d"] and bins.put("e", 2) == ["c", "e"] and not bins.bits
 
 
+def test_placements_equal_a_plain_loop():
+    draw = random.Random(4)
+    lengths = [min(1023, int(draw.lognormvariate(5, 1)) + 1) for _ in range(5000)]
+    bins, found = packing.OpenBins(1024, 16), []
+    for k, n in enumerate(lengths):
+        closed = bins.put(k, n)
+        if closed:
+            found.append(closed)
+    assert bins.closed_early > 0
+    found += [items for _, items in bins.rest()]
+    open_, closed = [], []  # plain: [free, items], the latest of equals first
+    for k, n in enumerate(lengths):
+        fits = [b for b in open_ if b[0] >= n]
+        if fits:
+            best = min(fits, key=lambda b: b[0])
+            best = [b for b in fits if b[0] == best[0]][-1]
+            open_.remove(best)
+        else:
+            if len(open_) == 16:
+                least = min(b[0] for b in open_)
+                fullest = [b for b in open_ if b[0] == least][-1]
+                open_.remove(fullest)
+                closed.append(fullest[1])
+            best = [1024, []]
+        best = [best[0] - n, [*best[1], k]]
+        (open_ if best[0] else closed).append(best if best[0] else best[1])
+    assert sorted(found) == sorted([*closed, *(b[1] for b in open_)])
+
+
+def test_bins_close_in_a_large_table(spark):
+    draw = random.Random(5)
+    rows = [(k, 0, 0, min(1023, int(draw.lognormvariate(5, 1)) + 1), k) for k in range(20_000)]
+    pieces = spark.createDataFrame(rows, packing.PIECE)
+    found = packing.pack(pieces, open_bins=64).collect()
+    free = Counter()
+    for r in found:
+        free[r["sequence_id"]] += r["length"]
+    least = sum(r[3] for r in rows) / 1024
+    assert len(found) == len(rows) and max(free.values()) <= 1024 and len(free) <= 1.01 * least
+    assert sum(1 for n in free.values() if n < 1024) > 2 * 64  # more than stayed open: the fullest closed before
+
+
 def test_top_k(spark):
     draw = np.random.default_rng(2)
     rows = [(int(k), [float(x) for x in np.round(draw.normal(size=4) * (1 + k % 3), 1)]) for k in range(300)]
