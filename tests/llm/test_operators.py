@@ -180,6 +180,30 @@ def test_top_k(spark):
     assert topk.top_k(made.limit(0), lambda c: c % 100 == 0).count() == 0
 
 
+def test_top_k_leaves_blocks_out(spark, caplog):
+    draw = np.random.default_rng(3)
+    centres = draw.normal(size=(20, 16))
+    x = np.repeat(centres, 100, axis=0) + 0.02 * draw.normal(size=(2000, 16))
+    made = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    with caplog.at_level("INFO", "lodestone.llm.topk"):
+        found = [tuple(r) for r in topk.top_k(made, lambda c: c % 100 == 0, block_rows=16, n_pivots=24, page_rows=7, widen=3).collect()]
+    q = np.floor(1024 * x)
+    expected = []
+    for k in range(0, 2000, 100):
+        scored = sorted((-int(q[k] @ q[j]), j) for j in range(2000) if j != k)[:10]
+        expected += [(k, n + 1, j, -s) for n, (s, j) in enumerate(scored)]
+    assert sorted(found) == sorted(expected)
+    visits, pairs = caplog.records[-1].args
+    assert 0 < visits < 0.5 * pairs
+
+
+def test_scores_beyond_doubles_are_exact():
+    draw = np.random.default_rng(7)
+    a, b = draw.integers(-(1 << 27), 1 << 27, (3, 40)), draw.integers(-(1 << 27), 1 << 27, (5, 40))
+    assert topk._scores(a.astype(float), b.astype(float)).tolist() == [[sum(int(x) * int(y) for x, y in zip(q, v)) for v in b] for q in a]
+    assert topk._scores(np.full((1, 2), 2.0**40), np.full((1, 2), 2.0**40)).tolist() == [[(1 << 63) - 1]]
+
+
 def edits(a, b):
     """Edit distance over words."""
     row = list(range(len(b) + 1))
