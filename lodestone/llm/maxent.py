@@ -12,8 +12,9 @@ The frequent words and the hashed features grow with the square root of the toke
 (Shape.of); the number of classes is fixed, as the trees tell the words of a class apart.
 
 Everything that is counted covers all training rows: word counts by a distributed aggregate, the clusters' profiles and the
-gradient updates by one pass each. A round of training lets every task take gradient steps over its rows from the
-same weights, then averages the tasks' weights; each training row is used in one round. Scoring runs in sparse numpy batches; only
+gradients by one pass each. In a round of training all tasks sum the gradient and its curvature over their rows from the
+same weights, the sums are added up in two levels, and one step divides them; so how rows are dealt to tasks changes nothing
+but rounding. Each training row is used in one round. Scoring runs in sparse numpy batches; only
 the head of the vocabulary (at most head words) is broadcast, and the counts of all other words are joined.
 
 Results for odd input: a null text counts as empty and has the end token alone; a row with a null id counts as the empty id; rows that
@@ -31,7 +32,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -41,7 +41,14 @@ from lodestone.llm.common import ASCII_LOWER, WordCache, crc32_mod, materialize
 
 END = b""  # no word is empty
 TEMPLATES = 4
-TASKS_A_CORE = 4
+TASKS_A_CORE = 1
+SUMMED = 64  # arrays that are added up in one go
+#: Of each round of training: its share of the rows, and the steps of classes and turns.
+ROUNDS = ((1, 6.0, 0.5), (1, 4.0, 0.3), (2, 3.0, 0.2))
+#: What is added to the counts and curvatures that divide a gradient.
+DAMPING, TURN_DAMPING = 20.0, 5.0
+#: How far a weight moves in a round at most, so that features which go together don't overshoot together.
+FARTHEST = 0.75
 WIDE = 1 << 24  # numbers of a history before they are dealt to slots
 
 
@@ -73,7 +80,7 @@ def _count(most: int = 300_000):
 class Shape:
     """head: frequent words at most. anchors: of these, words whose company makes the profiles. clusters, bands: classes are clusters by frequency bands. slots: hashed features of a template.
 
-    turns: hashed features of a template in the trees, a power of two. turn_rate: the trees' step. groups: of the words beyond the head.
+    turns: hashed features of a template in the trees, a power of two. groups: of the words beyond the head.
     """
 
     head: int = 32_768
@@ -81,10 +88,8 @@ class Shape:
     clusters: int = 6
     bands: int = 3
     slots: int = 8192
-    rate: float = 0.3
     batch: int = 8192
     turns: int = 1 << 18
-    turn_rate: float = 0.1
     groups: int = 64
 
     @classmethod
@@ -134,22 +139,36 @@ def _parts(total: np.ndarray, n: int = 64) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array([task] * n, pa.int32()), pa.array(pieces, pa.binary())], ["part", "task", "data"])
 
 
-def _summed(parts: DataFrame, shape: tuple[int, ...], mean: bool) -> np.ndarray | None:
-    """The sum of the tasks' arrays, or each number's mean over the tasks where it isn't 0."""
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up the rows of each part and turn, which follow each other. Holds one sum."""
+    current, total = None, np.zeros(0)
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("task")
-        total = np.zeros(len(group["data"].iloc[0]) // 4, np.float64)
-        moved = np.zeros(len(total), np.int32)
-        for data in group["data"]:
-            total += np.frombuffer(data, np.float32)
-            moved += np.frombuffer(data, np.float32) != 0
-        return pd.DataFrame({"part": [group["part"].iloc[0]], "data": [(total / (np.maximum(moved, 1) if mean else 1)).astype(np.float32).tobytes()]})
+    def out() -> pa.RecordBatch:
+        part, task = current
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([task], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part", "task", "data"])
 
-    rows = parts.groupBy("part").applyInPandas(add, "part int, data binary").collect()
-    if not rows:
-        return None
-    return np.concatenate([np.frombuffer(r["data"], np.float32) for r in sorted(rows, key=lambda r: r["part"])]).reshape(shape)
+    for batch in batches:
+        for part, task, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if (part, task) != current:
+                if current:
+                    yield out()
+                current, total = (part, task), np.zeros(len(data.as_buffer()) // 4)
+            total += np.frombuffer(data.as_buffer(), np.float32)
+    if current:
+        yield out()
+
+
+def _summed(parts: DataFrame, tasks: int) -> np.ndarray | None:
+    """The sum of the arrays of so many tasks at most; SUMMED arrays are added up at a time, so no task's work grows with their number."""
+    while True:
+        tasks = -(-tasks // SUMMED)
+        turn = F.floor(F.col("task") / SUMMED).cast("int")
+        dealt = parts.withColumn("own", F.col("task")).withColumn("task", turn).repartition("part", "task").sortWithinPartitions("part", "task", "own")
+        parts = dealt.select("part", "task", "data").mapInArrow(_add, "part int, task int, data binary")
+        if tasks <= 1:
+            break
+    rows = parts.collect()
+    return np.concatenate([np.frombuffer(r["data"], np.float32) for r in sorted(rows, key=lambda r: r["part"])]) if rows else None
 
 
 def cluster(profiles: np.ndarray, weight: np.ndarray, n: int, rounds: int = 25) -> np.ndarray:
@@ -220,14 +239,14 @@ class Trees:
         token, turns, signs, slots = self.ways(leaves, keys)
         return -np.bincount(token, np.log1p(np.exp(-self.lean(self.weights, turns, signs, slots))), len(leaves))
 
-    def step(self, weights: np.ndarray, scale: np.ndarray, leaves: np.ndarray, keys: np.ndarray, rate: float) -> None:
-        """A gradient step towards the leaves; changes weights and scale."""
+    def slope(self, gradient: np.ndarray, curve: np.ndarray, leaves: np.ndarray, keys: np.ndarray) -> None:
+        """Adds the gradient towards the leaves, and its curvature, to arrays like weights."""
         _, turns, signs, slots = self.ways(leaves, keys)
-        slope = signs / (1 + np.exp(self.lean(weights, turns, signs, slots)))
-        size, slope = slope * slope, slope * np.float32(rate)
+        miss = 1 / (1 + np.exp(self.lean(self.weights, turns, signs, slots)))
+        uphill, bend = signs * miss, miss * (1 - miss)
         for k in range(TEMPLATES):
-            np.add.at(scale[k], slots[k], size)
-            np.add.at(weights[k], slots[k], slope / np.sqrt(scale[k].take(slots[k], mode="clip")))
+            np.add.at(gradient[k], slots[k], uphill)
+            np.add.at(curve[k], slots[k], bend)
 
 
 def grow(own: np.ndarray, mass: np.ndarray, turns: int) -> Trees:
@@ -323,35 +342,43 @@ def _batches(batches: Iterator[pa.RecordBatch], index: Indexer, shape: Shape, co
 
 
 def _train(model, shape: Shape):
-    """How gradient steps over a task's rows move the weights of classes and trees. model: a broadcast Model."""
+    """The sums of gradient and count of the classes' features, and of gradient and curvature of the trees', over a task's rows. model: a broadcast Model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        weights, index, seen = m.weights.copy(), Indexer(m.head, shape), False
-        scale = np.full(weights.shape[:2], 1.0, np.float32)
-        inner, inner_scale = m.trees.weights.copy(), np.full(m.trees.weights.shape, 1.0, np.float32)
+        index, seen = Indexer(m.head, shape), False
+        gradient, times = np.zeros(m.weights.shape, np.float32), np.zeros(m.weights.shape[:2], np.float32)
+        inner, curve = (np.zeros(m.trees.weights.shape, np.float32) for _ in range(2))
         for ids, keys in _batches(batches, index, shape):
             own, seen, features = m.class_of(ids), True, keys % shape.slots
             for at in range(0, len(ids), shape.batch):
                 f, c, i = features[:, at : at + shape.batch], own[at : at + shape.batch], ids[at : at + shape.batch]
-                m.trees.step(inner, inner_scale, m.leaf_of(i), keys[:, at : at + shape.batch], shape.turn_rate)
-                slope = np.exp(_logits(weights, m.bias, f))
+                m.trees.slope(inner, curve, m.leaf_of(i), keys[:, at : at + shape.batch])
+                slope = np.exp(_logits(m.weights, m.bias, f))
                 slope /= slope.sum(axis=1, keepdims=True)
                 slope[np.arange(len(c)), c] -= 1
-                size = np.einsum("ij,ij->i", slope, slope)
                 for k in range(TEMPLATES):
                     order = np.argsort(f[k].astype(np.min_scalar_type(shape.slots - 1)), kind="stable")
                     placed = f[k][order]
                     starts = np.flatnonzero(np.concatenate(([True], placed[1:] != placed[:-1])))
-                    slots = placed[starts]
-                    scale[k, slots] += np.add.reduceat(size[order], starts)
-                    weights[k, slots] -= shape.rate * np.add.reduceat(slope[order], starts, axis=0) / np.sqrt(scale[k, slots])[:, None]
+                    gradient[k, placed[starts]] += np.add.reduceat(slope[order], starts, axis=0)
+                    times[k, placed[starts]] += np.diff(starts, append=len(placed))
         if seen:
-            yield from _parts(np.concatenate(((weights - m.weights).reshape(-1), (inner - m.trees.weights).reshape(-1))))
+            yield from _parts(np.concatenate([x.reshape(-1) for x in (gradient, times, inner, curve)]))
 
     return run
 
 
+def _stepped(m: Model, sums: np.ndarray, rate: float, turn_rate: float) -> Model:
+    """The model after one step along the sums of _train."""
+    n_times, n_inner = TEMPLATES * m.shape.slots, m.trees.weights.size
+    gradient, times, inner, curve = np.split(sums, np.cumsum([m.weights.size, n_times, n_inner]))
+    move = np.float32(rate) * gradient.reshape(m.weights.shape) / (times + np.float32(DAMPING)).reshape(TEMPLATES, -1, 1)
+    turn = (np.float32(turn_rate) * inner / (curve + np.float32(TURN_DAMPING))).reshape(m.trees.weights.shape)
+    weights, turns = m.weights - move.clip(-FARTHEST, FARTHEST), m.trees.weights + turn.clip(-FARTHEST, FARTHEST)
+    return replace(m, weights=weights, trees=replace(m.trees, weights=turns))
+
+
 def _most_frequent(counts: DataFrame, most: int) -> list:
     """The most frequent words, at most so many: those above a level of frequency. Levels are 64 to a doubling, so few counts reach the driver to choose one."""
     level = F.floor(F.log2("n") * 64).cast("int")
@@ -364,13 +391,14 @@ def _most_frequent(counts: DataFrame, most: int) -> list:
     return sorted(counts.filter(level >= lowest).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
 
 
-def fit(train: DataFrame, counts: DataFrame, total: int, shape: Shape, rounds: tuple[int, ...] = (1, 3)) -> Model:
-    """train: doc_id, text of the training rows. counts: word, n. rounds: shares of the rows that each round uses."""
+def fit(train: DataFrame, counts: DataFrame, total: int, shape: Shape, rounds: tuple[tuple[int, float, float], ...] = ROUNDS) -> Model:
+    """train: doc_id, text of the training rows. counts: word, n. rounds: each one's share of the rows and steps."""
     top = _most_frequent(counts, shape.head)
     head, n = [bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.float64)
     context = train.sparkSession.sparkContext
-    few = TASKS_A_CORE * context.defaultParallelism  # tasks, so that their arrays stay small beside the rows
-    profiles = _summed(train.select("text").coalesce(few).mapInArrow(_profiles(head, shape), "part int, task int, data binary"), (shape.head, shape.anchors), False)
+    few = TASKS_A_CORE * context.defaultParallelism  # tasks, so that their arrays stay few beside the rows
+    profiles = _summed(train.select("text").coalesce(few).mapInArrow(_profiles(head, shape), "part int, task int, data binary"), few)
+    profiles = None if profiles is None else profiles.reshape(shape.head, shape.anchors)
     own = classes(head, n, profiles, shape)
     n_classes = 2 + shape.clusters * shape.bands
     mass = np.bincount(own, n, minlength=n_classes) if len(head) else np.zeros(n_classes)
@@ -384,17 +412,15 @@ def fit(train: DataFrame, counts: DataFrame, total: int, shape: Shape, rounds: t
     bias = np.log((mass + 0.5) / (mass + 0.5).sum()).astype(np.float32)
     model = Model(shape, head, own, inner, np.log10(n + 1), np.zeros((TEMPLATES, shape.slots, n_classes), np.float32), bias, trees, np.log10(grouped))
     before = 0
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(sum(rounds)))
-    for share in rounds:
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(sum(share for share, _, _ in rounds)))
+    for share, rate, turn_rate in rounds:
         sent = context.broadcast(model)
-        part = train.filter((fold >= before) & (fold < before + share)).select("text")
-        part = part.coalesce(few)
-        moved = _summed(part.mapInArrow(_train(sent, shape), "part int, task int, data binary"), (-1,), True)
+        part = train.filter((fold >= before) & (fold < before + share)).select("text").coalesce(few)
+        sums = _summed(part.mapInArrow(_train(sent, shape), "part int, task int, data binary"), few)
         before += share
-        if moved is not None:
-            outer, within = np.split(moved, [model.weights.size])
-            trees = replace(model.trees, weights=model.trees.weights + within.reshape(model.trees.weights.shape))
-            model = replace(model, weights=model.weights + outer.reshape(model.weights.shape), trees=trees)
+        if sums is not None:
+            model = _stepped(model, sums, rate, turn_rate)
+        sent.unpersist()
     return model
 
 
@@ -446,7 +472,7 @@ def _score(model):
     return run
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: Shape | None = None, rounds: tuple[int, ...] = (1, 3)) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: Shape | None = None, rounds: tuple[tuple[int, float, float], ...] = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row, learned from the rows whose crc32(doc_id as text) mod folds isn't held_out.
 
     base_score: log10 probability under add-one counts of single tokens. score: under the model. Without a shape, it follows the counts.

@@ -332,6 +332,21 @@ def test_maxent(spark, odd):
     assert maxent.score_documents(empty(spark), shape=shape).count() == 0
 
 
+def test_maxent_learns_alike_however_rows_are_dealt(spark, monkeypatch):
+    draw = random.Random(16)
+    rows = [(k, " ".join(f"{'abc'[k % 3]}{int(draw.paretovariate(0.6)) % 60}" for _ in range(120)), "s") for k in range(300)]
+    shape = maxent.Shape(head=64, anchors=8, clusters=2, bands=2, slots=256, batch=512, turns=1 << 12)
+    monkeypatch.setattr(maxent, "SUMMED", 3)  # several levels of sums
+    found = []
+    for parts, a_core in ((1, 1), (16, 1), (128, 16)):
+        monkeypatch.setattr(maxent, "TASKS_A_CORE", a_core)
+        out = maxent.score_documents(table(spark, rows).repartition(parts, "doc_id"), shape=shape).collect()
+        found.append({r["doc_id"]: (r["score"], r["base_score"], r["held_out"]) for r in out})
+    gains = [sum(s - b for s, b, held in f.values() if held) for f in found]
+    assert gains[0] > 0 and gains[1] == pytest.approx(gains[0], rel=1e-3) and gains[2] == pytest.approx(gains[0], rel=1e-3)
+    assert all(found[1][k][0] == pytest.approx(found[0][k][0], rel=1e-3) for k in found[0])
+
+
 def test_maxent_is_a_distribution():
     shape = maxent.Shape(head=4, anchors=2, clusters=1, bands=1, slots=16)
     draw = np.random.default_rng(1)
