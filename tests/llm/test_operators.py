@@ -450,6 +450,49 @@ def test_html(spark):
     assert html.extract(made.limit(0), html.fit(made.limit(0))).count() == 0
 
 
+BODY = "<h1>A title of some words</h1><p>The first paragraph has a good many words in it.</p>"
+KEPT = "A title of some words\n\nThe first paragraph has a good many words in it."
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    pages = [(k, "u", PAGE % ("article", "article")) for k in range(30)]
+    return html.fit(spark.createDataFrame(pages, "page_id long, url string, html string"))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<div class="layout with-sidebar"><article>%s</article></div>', KEPT),
+        ('<div id="search-results"><article>%s</article></div>', KEPT),
+        ('<div class="share-price-news"><main>%s</main></div>', KEPT),
+        ('<form><div class="widget"><article>%s</article></div></form>', KEPT),
+        ('<article>%s</article><div class="comments"><article>A reader writes a comment here</article></div>', KEPT),
+        ('<div class="related"><article>Other news</article></div><article>%s</article>', KEPT),
+        ("<article>%s<ul><li>one point<li>two points</ul></article>", KEPT + "\n\none point\n\ntwo points"),
+        ("<article>%s<blockquote>A quote</blockquote><table><tr><td>1<td>2</table><p>Short end.</article>", KEPT + "\n\nA quote\n\n1\n\n2\n\nShort end."),
+        ("<article>%s<figure><img><figcaption>A caption</figcaption></figure><p>Where <math><mi>x</mi> = 1</math>.</article>", KEPT + "\n\nA caption\n\nWhere x = 1."),
+        ('<nav><a href=x>Home</a></nav><div class="post">%s<ul><li>one point of some words<li>two points of some words</ul></div><div class="footer">All rights</div>', KEPT + "\n\none point of some words\n\ntwo points of some words"),
+        ("<div class=banner><h1>A title of some words</h1><p>The first paragraph has a good many words in it.</p></div>%.0s", KEPT),
+    ],
+)
+def test_html_keeps_the_article(learned, page, text):
+    assert html.main_text(page % BODY, learned) == text
+
+
+def test_html_of_deep_and_long_pages(learned):
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        for page in ("<div>" * n + BODY, "<i><div>" + "<b>" * n + "x" + "</i>" * n, "<div class=nav>" * n + f"<article>{BODY}</article>", f"<article>{BODY}" + "<p>more words" * n):
+            html.main_text(page, learned)
+        return time.perf_counter() - began
+
+    assert html.main_text("<div>" * 100_000 + BODY, learned) == KEPT
+    assert seconds(100_000) < 40 * max(seconds(10_000), 0.05)  # a quadratic parser takes 100 times as long
+
+
 def test_best_region_against_all_runs():
     draw = random.Random(4)
     for _ in range(200):
