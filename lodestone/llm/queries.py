@@ -54,8 +54,10 @@ def dated_captures(pages: DataFrame) -> DataFrame:
 
 
 def dated_entries(pages: DataFrame) -> DataFrame:
-    """A dated list over the tables' own hosts: of every eight, by the host's MD5, three are added on some day, two of them are removed later and one is added once more."""
-    hosts = pages.select(urlfilter.host(F.col("url")).alias("pattern")).filter("pattern is not null").distinct()
+    """A dated list over the tables' own hosts, their parent domains and hosts with a first path segment: of every eight, by the pattern's MD5, three are added on some day, two of them are removed later and one is added once more."""
+    name, path = urlfilter.host(F.col("url")), urlfilter.first_path(F.col("url"))
+    parent = F.when(F.size(F.split(name, r"\.")) > 2, F.regexp_replace(name, r"^[^.]*\.", ""))
+    hosts = pages.select(F.explode(F.array(name, parent, F.when(path != "", F.concat(name, path)))).alias("pattern")).filter("pattern is not null").distinct()
     number = lambda at: F.conv(F.substring(F.md5("pattern"), at, 6), 16, 10).cast("int")
     hosts = hosts.select("pattern", (number(1) % 8).alias("turn"), (number(7) % 1000).alias("first"), (number(13) % 300 + 1).alias("span"))
     entry = lambda action, day, when: hosts.filter(when).select("pattern", F.lit(action).alias("action"), day.alias("day"))
@@ -138,7 +140,9 @@ WITH c AS (
     regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*(/[^/?#]+)', 1) AS path,
     row_number() OVER () AS row FROM pages
 ), h AS (
-  SELECT DISTINCT host AS pattern FROM c WHERE host IS NOT NULL
+  SELECT host AS pattern FROM c WHERE host IS NOT NULL
+  UNION SELECT regexp_replace(host, '^[^.]*\\.', '') FROM c WHERE len(string_split(host, '.')) > 2
+  UNION SELECT host || path FROM c WHERE host IS NOT NULL AND path <> ''
 ), n AS (
   SELECT pattern, ('0x' || substr(md5(pattern), 1, 6))::INT % 8 AS turn, ('0x' || substr(md5(pattern), 7, 6))::INT % 1000 AS first_,
     ('0x' || substr(md5(pattern), 13, 6))::INT % 300 + 1 AS span FROM h

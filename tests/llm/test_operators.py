@@ -432,6 +432,28 @@ def test_url_filter(spark):
     assert urlfilter.blocked_captures(made.limit(0), listed).count() == 0 and not any(r["blocked"] for r in urlfilter.blocked_captures(made, listed.limit(0)).collect())
 
 
+def test_url_filter_against_all_pairs(spark):
+    draw = random.Random(12)
+    names = ["a.org", "x.a.org", "y.x.a.org", "b.net", "c.com"]
+    entries = [(draw.choice([*names, "a.org/p", "b.net/q"]), draw.choice(["add", "remove"]), draw.randrange(60)) for _ in range(150)]
+    captures = [(k, f"http://{draw.choice(names)}{draw.choice(['', '/p', '/q/r', '/P'])}", draw.randrange(70), "keep") for k in range(400)] + [(400, "http://a.org/p", 7, "keep")] * 3
+    made = spark.createDataFrame(captures, "page_id long, url string, fetched int, since string")
+    found = Counter((r["page_id"], r["url"], r["fetched"], r["blocked"], r["pattern"], r["since"]) for r in urlfilter.blocked_captures(made, spark.createDataFrame(entries, "pattern string, action string, day int")).collect())
+    spans = defaultdict(list)
+    for p, action, day in sorted(set(entries), key=lambda e: (e[0], e[2], e[1] == "add")):
+        if action == "add" and not (spans[p] and spans[p][-1][1] is None):
+            spans[p].append([day, None])
+        elif action == "remove" and spans[p] and spans[p][-1][1] is None:
+            spans[p][-1][1] = day
+    expected = Counter()
+    for k, url, day, _ in captures:
+        name, _, path = url[7:].partition("/")
+        keys = [name, *(name.split(".", n)[n] for n in range(1, name.count("."))), *([f"{name}/{path.split('/')[0]}"] if path else [])]
+        hits = [(-len(p), p, a) for p in keys for a, b in spans.get(p, []) if a <= day and (b is None or day < b)]
+        expected[(k, url, day, bool(hits), *(min(hits)[1:] if hits else (None, None)))] += 1
+    assert found == expected and any(r[3] for r in found) and any(r[4] and "/" in r[4] for r in found)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><!-- c --><header><h1>Site name</h1></header><nav><ul><li><a href=/a>Home</a><li><a href=/b>News of all kinds</a></ul></nav>
 <div class="cookie-notice">We use cookies to make this very good site work for you</div>
 <%s><h1>Main &amp; title</h1><p>First   part <b>of</b> the
