@@ -1,17 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A lexical transducer turns words into symbols: insults, threats, targets, negations and reporting verbs. Transducers for
-insult, threat, target, negation and reported speech read the symbols of a clause; their composition gives the kind of
-clause matched: a plain, targeted, negated or reported insult, or a targeted or plain threat. A document's score is a logistic function
-of the weights of its matched clauses, so a word counts by the clause it stands in.
+A lexical transducer turns words into symbols with weights: insults, threats, targets, negations and reporting verbs.
+Transducers for insult, threat, target, negation and reported speech read the symbols of a clause. Their composition tags the
+arc of each insult or threat, which carries the word's weight, and the clause's last state; both together give the kind of match: a plain,
+targeted, negated or reported insult, or a targeted or plain threat. A negation or report holds for the words in its reach alone,
+and a negation ends at a comma. A document's score is a logistic function of the weights of its matches by kind, so a word counts by the
+clause it stands in.
 
 Insults are a seed list and words or word beginnings learned from labelled rows, with their log-odds as arc weights;
-the weights of the kinds of clause are learned too. At most max_rows labelled rows are used for learning, those whose
-ids hash lowest; the lexicon keeps at most max_terms terms. Scoring reads every whole text.
+the weights of the kinds of match are learned too; threats, targets, negations and reports are the seed lists. At most max_rows labelled rows are used for learning, those whose
+ids hash lowest; the lexicon keeps at most max_terms terms. With fewer than least_rows toxic or clean rows nothing is learned, and the
+seed lists with default weights are used. Scoring reads every whole text.
 
 Results for odd input: null, empty and unlabelled texts get a score from the bias alone; rows with a null or repeated id
-are scored like any other; a null label takes no part, and of several labels of an id the largest counts; without
-labels of both kinds, or with empty tables, the seed lists and default weights are used; other columns are ignored.
+are scored like any other; of the texts of a labelled id that is repeated the smallest is learned from; a null label takes no part, and of several labels of an id the largest counts; with empty
+tables the seed lists and default weights are used; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,30 +39,34 @@ TARGETS = "you your yourself u du dich dir ihr euch tu toi te vous tú ti usted
 NEGATIONS = "not never no nobody isn wasn nicht kein keine nie ne pas jamais aucun nunca jamás ningún".split()
 REPORTS = "said says say claimed claims called wrote reported sagte sagt behauptet schrieb dit affirme écrit dijo dice escribió".split()
 
-WORD = re.compile(r"[^\W\d_]+|[.!?;\n]")
-SYMBOLS = ("insult", "threat", "target", "negation", "report", "other")
+WORD = re.compile(r"[^\W\d_]+|[.!?;,\n]")
+SYMBOLS = ("insult", "threat", "target", "negation", "report", "comma", "other")
 KINDS = ("insult", "targeted", "negated", "reported", "threat", "targeted_threat")
 FEATURES = (*KINDS, "heaviest", "density")
 
 
 @dataclass(frozen=True)
 class Transducer:
-    """A deterministic transducer over SYMBOLS; what isn't in steps stays in its state. output gives a state's tag."""
+    """A deterministic transducer over SYMBOLS; what isn't in steps stays in its state. arcs: tags of a step by state and symbol. output: tags of a last state."""
 
     start: object
     steps: dict
+    arcs: dict
     output: dict
 
     def step(self, state, symbol):
         return self.steps.get((state, symbol), state)
 
+    def arc(self, state, symbol):
+        return self.arcs.get((state, symbol), frozenset())
+
     def tag(self, state):
         return self.output.get(state, frozenset())
 
 
 def compose(a: Transducer, b: Transducer) -> Transducer:
     """The transducer that reads with a and b together and gives both tags; only states that can be reached are made."""
-    steps, output, todo = {}, {}, [(a.start, b.start)]
+    steps, arcs, output, todo = {}, {}, {}, [(a.start, b.start)]
     while todo:
         state = todo.pop()
         if state in output:
@@ -69,33 +76,40 @@ def compose(a: Transducer, b: Transducer) -> Transducer:
             after = (a.step(state[0], symbol), b.step(state[1], symbol))
             if after != state:
                 steps[state, symbol] = after
+            if tags := a.arc(state[0], symbol) | b.arc(state[1], symbol):
+                arcs[state, symbol] = tags
             todo.append(after)
-    return Transducer((a.start, b.start), steps, output)
+    return Transducer((a.start, b.start), steps, arcs, output)
+
+
+def _hit(symbol: str) -> Transducer:
+    """Tags every arc of the symbol."""
+    return Transducer(0, {}, {(0, symbol): frozenset([symbol])}, {})
 
 
 def _once(symbol: str) -> Transducer:
-    return Transducer(0, {(0, symbol): 1}, {1: frozenset([symbol])})
+    """Tags a clause that has the symbol anywhere."""
+    return Transducer(0, {(0, symbol): 1}, {}, {1: frozenset([symbol])})
 
 
 def _negation(reach: int = 3) -> Transducer:
-    """Tags the clause if an insult or threat follows a negation within reach words."""
+    """Tags the arcs of insults and threats within reach words of a negation, with no comma between."""
     steps = {(k, "negation"): reach for k in range(reach + 1)}
     for k in range(1, reach + 1):
-        steps |= {(k, s): k - 1 for s in ("target", "other", "report")} | {(k, s): "hit" for s in ("insult", "threat")}
-    return Transducer(0, steps, {"hit": frozenset(["negation"])})
+        steps |= {(k, s): k - 1 for s in SYMBOLS if s not in ("negation", "comma")} | {(k, "comma"): 0}
+    return Transducer(0, steps, {(k, s): frozenset(["negation"]) for k in range(1, reach + 1) for s in ("insult", "threat")}, {})
 
 
 def _report() -> Transducer:
-    """Tags the clause if a reporting verb stands before the insult or threat."""
-    steps = {(0, "report"): 1} | {(1, s): 2 for s in ("insult", "threat")} | {(0, s): 3 for s in ("insult", "threat")}
-    return Transducer(0, steps, {2: frozenset(["report"])})
+    """Tags the arcs of insults and threats that follow a reporting verb."""
+    return Transducer(0, {(0, "report"): 1}, {(1, s): frozenset(["report"]) for s in ("insult", "threat")}, {})
 
 
-GRAMMAR = reduce(compose, (_once("insult"), _once("threat"), _once("target"), _negation(), _report()))
+GRAMMAR = reduce(compose, (_hit("insult"), _hit("threat"), _once("target"), _negation(), _report()))
 
 
 def kind(tags: frozenset) -> str | None:
-    """The kind of clause that the grammar's tags stand for."""
+    """The kind of match that the tags of an arc and of its clause's last state stand for."""
     if not tags & {"insult", "threat"}:
         return None
     if "negation" in tags:
@@ -117,8 +131,8 @@ class Model:
     bias: float = -3.0
 
     def reader(self) -> WordCache:
-        """Words to (symbol, weight)."""
-        fixed = {w: (s, 1.0) for s, words in (("report", REPORTS), ("negation", NEGATIONS), ("target", TARGETS), ("threat", THREATS)) for w in words}
+        """The lexical transducer: words to (symbol, weight)."""
+        fixed = {",": ("comma", 0.0)} | {w: (s, 1.0) for s, words in (("report", REPORTS), ("negation", NEGATIONS), ("target", TARGETS), ("threat", THREATS)) for w in words}
         lengths = sorted({len(s) for s in self.stems})
 
         def read(word: str) -> tuple[str, float] | None:
@@ -130,7 +144,7 @@ class Model:
 
 
 def match(text: str | None, reader: WordCache) -> np.ndarray:
-    """FEATURES of a text: weight of the matched clauses by kind, the heaviest one's, and all by length."""
+    """FEATURES of a text: weight of the matches by kind, the heaviest clause's, and all by length."""
     out = np.zeros(len(FEATURES))
     words = WORD.findall((text or "").lower())
     read = list(map(reader.__getitem__, words))
@@ -145,15 +159,18 @@ def match(text: str | None, reader: WordCache) -> np.ndarray:
         last = hit
         while last + 1 < len(words) and words[last + 1] not in end_of:
             last += 1
-        done, state, weight = last, GRAMMAR.start, 0.0
+        done, state, matched = last, GRAMMAR.start, []
         for s in read[first : last + 1]:
-            symbol, w = s or ("other", 0.0)
+            symbol, weight = s or ("other", 0.0)
+            if tags := GRAMMAR.arc(state, symbol):
+                matched.append((tags, weight))
             state = GRAMMAR.step(state, symbol)
-            if symbol in ("insult", "threat"):
-                weight += w
-        out[KINDS.index(kind(GRAMMAR.tag(state)))] += weight
-        out[-2] = max(out[-2], weight)
-        total += weight
+        clause = 0.0
+        for tags, weight in matched:
+            out[KINDS.index(kind(tags | GRAMMAR.tag(state)))] += weight
+            clause += weight
+        out[-2] = max(out[-2], clause)
+        total += clause
     out[: len(KINDS)] = np.log1p(out[: len(KINDS)])
     out[-1] = 100 * total / (100 + len(words))
     return out
@@ -198,16 +215,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int | None = 0, max_rows: int = 20_000, max_terms: int = 4096, stem_lengths: range = range(4, 9)) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int | None = 0, max_rows: int = 20_000, max_terms: int = 4096, least_rows: int = 5, stem_lengths: range = range(4, 9)) -> Model:
     """Learn from rows whose crc32(doc_id as text) mod folds isn't held_out (None: from all)."""
     seeds = {w: 3.0 for w in INSULTS}
     rows = labels.filter("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     if held_out is not None:
         rows = rows.filter(crc32_mod(F.col("doc_id"), folds) != held_out)
     rows = hash_sample(rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), max_rows, "doc_id")
-    sample = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rows), "doc_id").select("doc_id", "text", "toxic"), "labelled")
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rows), "doc_id")
+    sample = materialize(held.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "labelled")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    if len(n) < 2:
+    if min(n.get(0, 0), n.get(1, 0)) < least_rows:
         return Model(seeds, {})
     counted = sample.mapInArrow(given_back(_count_terms(stem_lengths)), "term string, stem boolean, clean long, toxic long").groupBy("term", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))

@@ -402,6 +402,29 @@ def test_toxicity_grammar():
     assert of("the idiot said so") == {"insult"} and of("not one of the very many idiot") == {"insult"} and of("") == of(None) == set()
 
 
+def test_toxicity_reach():
+    reader = toxicity.Model({"idiot": 2.0}, {}).reader()
+    of = lambda text: {k for k, x in zip(toxicity.KINDS, toxicity.match(text, reader)) if x}
+    assert of("he is not, you idiot, a friend") == {"targeted"} and of("not an idiot but an idiot") == {"negated", "insult"}
+    assert of("an idiot, he said, an idiot") == {"insult", "reported"} and of("he is not the idiot, you") == {"negated"}
+
+
+def test_toxicity_of_few_and_repeated_labels(spark):
+    docs = table(spark, [(1, "good words here", "s"), (2, "grumpf words here", "s"), (None, "you idiot", "s")] + [(k, f"text {k % 50} of {k}", "s") for k in range(3, 300) for _ in range(2)])
+    few = toxicity.fit(docs, spark.createDataFrame([(1, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int"), held_out=None)
+    assert few == toxicity.Model({w: 3.0 for w in toxicity.INSULTS}, {})
+    scored = {r["text"]: r["toxicity"] for r in toxicity.score(docs, few).collect()}
+    assert scored["good words here"] < 0.5 < scored["you idiot"]
+    seen = []
+    real = toxicity._logistic
+    toxicity._logistic = lambda x, y, **o: seen.append(len(x)) or real(x, y, **o)
+    try:
+        toxicity.fit(docs, spark.createDataFrame([(k, 1, k % 2) for k in range(300)], "doc_id long, quality int, toxic int"), held_out=None, max_rows=40)
+    finally:
+        toxicity._logistic = real
+    assert seen and seen[0] <= 40
+
+
 def test_toxicity_learns(spark):
     draw = random.Random(2)
     rows, labels = [], []
