@@ -1,6 +1,13 @@
 """Corpus pipeline: toxicity, line dedup, near-duplicate removal, mixing and packing.
 
-Every stage takes (spark, docs, sf_dir) and works on all rows of docs. All but the last return the columns of docs.
+Every stage takes (spark, docs, sf_dir) and works on all rows of docs. All but the last return the columns of docs, whatever
+further columns it has, even of names that an operator uses.
+
+Results for odd input: an empty table gives an empty one in every stage. A null text counts as empty, isn't toxic, has no lines,
+is no near duplicate, has size 0 in the mix, and packs as the end token alone; null texts stay null until then. Rows with a null id go through toxicity, line dedup
+(where they come first), mixing and packing like any other, and are never near duplicates. Rows that repeat an id with another
+text are documents of their own in every stage; of rows that repeat both id and text line dedup keeps the same lines in each, and
+the near-duplicate stage one row. Equal sizes are mixed in the order of a hash of the id. Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -9,19 +16,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm import linededup, minhash, mixing, packing, toxicity
-from lodestone.llm.common import materialize
+from lodestone.llm.common import materialize, release
+
+
+def _renamed(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its own columns of these names put aside, and where each column of docs is."""
+    place = {c: f"__own_{c}" if c in names else c for c in docs.columns}
+    return docs.withColumnsRenamed({c: at for c, at in place.items() if c != at}), place
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below 0.5. It learns from labelled rows of docs whose crc32(doc_id as text) mod 5 isn't 0."""
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter("toxicity < 0.5").select(*docs.columns)
+    own, place = _renamed(docs, "toxicity")
+    model = toxicity.fit(own, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(own, model).filter("toxicity < 0.5").select(*(F.col(at).alias(c) for c, at in place.items()))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines go that an earlier line equals or nearly equals; n_chars follows the text. Documents go whose every line went."""
-    done = linededup.dedup_lines(docs).filter("n_lines = 0 or n_removed < n_lines")
-    return done.select(*(F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    own, place = _renamed(docs, "n_lines", "n_removed")
+    done = linededup.dedup_lines(own).filter("n_lines = 0 or n_removed < n_lines")
+    chars = lambda: F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return done.select(*((chars() if c == "n_chars" else F.col(at)).alias(c) for c, at in place.items()))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,5 +75,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn, over documents; each one's result is stored and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
