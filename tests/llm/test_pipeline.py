@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from lodestone.llm import minhash, mixing, toxicity
 
@@ -72,3 +74,29 @@ def test_mixing_by_row(spark):
         due[r["source"], r["size"]] = r["copies"]
     taken = [(r["source"], len(r["text"].split())) for r in corpus_pipeline.mix_sources(spark, docs, "").collect()]
     assert len(due) == 60 and {k: taken.count(k) for k in due} == due
+
+
+def test_stages_of_odd_tables(spark, tmp_path):
+    d = str(tmp_path)
+    _tables(spark, d)
+    long = " ".join(f"z{k}" for k in range(30_000))
+    rows = [(None, "text without an id", None), (None, None, "s"), (1, "line one of this\nline two", "s"), (1, "other text of the id", "s"), (2, "", "s"), (2, "", "s"), (3, long, "t"), (4, "line two", "t")]
+    names = "doc_id long, text string, lang string, source string, n_chars long, toxicity string, n_lines int, n_removed int, copies string, size string, component_id string, n long"
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or ""), "own", -1, -2, "c", "z", "k", 7) for i, t, s in rows], names)
+    texts = lambda df: sorted(((r["doc_id"] or 0, r["text"] or "") for r in df.collect()))
+    own = lambda df: {(r["toxicity"], r["n_lines"], r["n_removed"], r["copies"], r["size"], r["component_id"], r["n"]) for r in df.collect()}
+    whole = sorted((i or 0, t or "") for i, t, _ in rows)
+    clean = corpus_pipeline.drop_toxic(spark, docs, d)
+    assert clean.columns == docs.columns and texts(clean) == whole
+    lines = corpus_pipeline.dedup_lines(spark, clean, d)
+    assert lines.columns == docs.columns and texts(lines) == [x for x in whole if x != (4, "line two")]
+    near = corpus_pipeline.drop_near_duplicates(spark, lines, d)
+    assert near.columns == docs.columns and texts(near) == [(0, ""), (0, "text without an id"), (1, "line one of this\nline two"), (1, "other text of the id"), (2, ""), (3, long)]
+    mixed = corpus_pipeline.mix_sources(spark, near, d)
+    assert mixed.columns == docs.columns and all(own(x) == {("own", -1, -2, "c", "z", "k", 7)} for x in (clean, lines, near, mixed))
+    assert mixed.filter(F.length("text") == len(long)).count() <= 2 and corpus_pipeline.pack(spark, mixed, d).count() >= mixed.count()
+    none = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, none, d)
+        assert out.columns == docs.columns and out.count() == 0
+    assert corpus_pipeline.pack(spark, none, d).count() == 0
