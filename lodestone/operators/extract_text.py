@@ -33,11 +33,10 @@ def urls(text: Column) -> Column:
 
 def skills(text: Column) -> Column:
     """Canonical names of the aliases that stand alone in the text, longest alias first, each once."""
-    low = F.lower(text)
-    alone = lambda alias: F.rlike(low, F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), alias, F.lit(r"\E(?![A-Za-z0-9])")))
-    # contains is far cheaper than a regular expression, and false for most aliases
-    found = F.filter(D.strings(D.MATCH_ORDER), lambda alias: low.contains(alias))
-    return F.coalesce(F.array_distinct(F.transform(F.filter(found, alone), lambda alias: D.lookup(D.SKILL_ALIASES, alias))), X.no_strings())
+    # contains is far cheaper than a regular expression, and false for most aliases; the patterns are constants, compiled once
+    alone = lambda low, alias: low.contains(alias) & low.rlike(rf"(?<![A-Za-z0-9])\Q{alias}\E(?![A-Za-z0-9])")
+    named = lambda low: F.array(*(F.when(alone(low, alias), F.lit(D.SKILL_ALIASES[alias])) for alias in D.MATCH_ORDER))
+    return F.coalesce(X.let(F.lower(text), lambda low: F.array_distinct(F.array_compact(named(low)))), X.no_strings())
 
 
 def sections(lines: Column) -> Column:

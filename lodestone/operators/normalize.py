@@ -9,17 +9,16 @@ from lodestone import schema
 from lodestone.errors import NormalizationError
 from lodestone.functions import normalizers as N
 from lodestone.functions import text as X
-from lodestone.functions.dictionaries import SKILL_CATEGORIES, lookup, skill_name, source_priority
+from lodestone.functions.dictionaries import skill_name, source_priority
 
 
 def strings(items: Column) -> Column:
     return X.some(F.transform(items, X.clean))
 
 
-def skill_records(items: Column, with_category: bool = False) -> Column:
+def skill_records(items: Column) -> Column:
     names = X.distinct(F.transform(strings(items), skill_name))
-    category = lambda n: lookup(SKILL_CATEGORIES, n) if with_category else F.lit(None).cast("string")
-    return F.transform(names, lambda n: F.struct(n.alias("name"), category(n).alias("category"), F.lit(None).cast("double").alias("years_of_experience"), X.no_strings().alias("evidence")))
+    return F.transform(names, lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("category"), F.lit(None).cast("double").alias("years_of_experience"), X.no_strings().alias("evidence")))
 
 
 def education_records(items: Column, strict: bool) -> Column:
@@ -54,7 +53,7 @@ def attributes() -> Column:
     )
 
 
-def normalize(canonical: DataFrame, strict_dates: bool = True, with_category: bool = False) -> DataFrame:
+def normalize(canonical: DataFrame, strict_dates: bool = True) -> DataFrame:
     schema.require(canonical, ["record_id", "source_record_id", "seq", "source_name", "source_type", "full_name", "email_addresses", "phone_numbers", "skills", "education", "experience", "organizations", "locations", "urls", "sentences"], NormalizationError)
     staged = canonical.withColumns(
         {
@@ -84,7 +83,7 @@ def normalize(canonical: DataFrame, strict_dates: bool = True, with_category: bo
         F.lit(None).cast("string").alias("summary"),
         contact.alias("contact"),
         N.location(X.first(strings(F.col("locations")))).alias("location"),
-        skill_records(F.col("skills"), with_category).alias("skills"),
+        skill_records(F.col("skills")).alias("skills"),
         jobs.cast(f"array<{schema.EMPLOYMENT}>").alias("work_experience"),
         education_records(F.col("education"), strict_dates).cast(f"array<{schema.EDUCATION}>").alias("education"),
         X.no_strings().alias("certifications"),

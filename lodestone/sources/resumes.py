@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import io
 import logging
 import zipfile
@@ -12,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.errors import ResumeSourceError
 from lodestone.functions.text import no_strings
 from lodestone.session import planned
 from lodestone.sources.files import exists
@@ -41,6 +43,10 @@ def pdf_text(content: bytes) -> str:
         return "\n".join(filter(None, ((page.extract_text() or "").strip() for page in pdf.pages)))
 
 
+def _has_pdf_reader() -> bool:
+    return importlib.util.find_spec("pdfplumber") is not None
+
+
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
@@ -56,13 +62,16 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_resumes(spark: SparkSession, path: str, batch_id: str | None = None) -> DataFrame:
     """One raw record per PDF or DOCX file of a folder, not below it, or of a single file, in the order of their names.
 
-    Unreadable files and files without text are skipped; a missing path gives no rows and a warning.
+    Unreadable files and files without text are skipped; a missing path gives no rows and a warning. PDF files without a
+    package to read them are an error, raised once, before anything is read.
     """
     if not exists(spark, path):
         LOG.warning("résumé path not found: %s", path)
         return empty_records(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(path)
     suffix = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    if not _has_pdf_reader() and not files.filter(suffix == "pdf").select("path").isEmpty():
+        raise ResumeSourceError("PDF documents need the package pdfplumber, which isn't installed")
     wanted = files.select("path", suffix.alias("suffix"), "content", F.sha2("content", 256).alias("sum")).filter(F.col("suffix").isin("pdf", "docx"))
     texts = wanted.mapInArrow(_decode, "file_path string, suffix string, raw_text string, checksum_sha256 string").filter("raw_text is not null")
     return resume_records(texts.withColumn("file_name", F.regexp_extract("file_path", r"([^/]+)$", 1)), batch_id)
