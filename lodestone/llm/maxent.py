@@ -88,7 +88,7 @@ class Shape:
     clusters: int = 6
     bands: int = 3
     slots: int = 8192
-    batch: int = 8192
+    batch: int = 32_768
     turns: int = 1 << 18
     groups: int = 64
 
