@@ -30,6 +30,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import ASCII_LOWER, WordCache, crc32_mod, materialize
+from lodestone.llm.common import ASCII_LOWER, crc32_mod, materialize
 
 END = b""  # no word is empty
 TEMPLATES = 4
@@ -104,12 +105,13 @@ class Indexer:
     """Words to numbers: the head by rank, any other word to head + its hash."""
 
     def __init__(self, head: list[bytes], shape: Shape):
-        rank = {w: k for k, w in enumerate(head)}
-        n = shape.head
-        self.words = WordCache(lambda w: rank[w] if w in rank else n + zlib.crc32(w))
+        self.rank, self.n = {w: k for k, w in enumerate(head)}, shape.head
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        out = np.fromiter(map(self.rank.get, words, repeat(-1)), np.int64, len(words))
+        rare = np.flatnonzero(out < 0)
+        out[rare] = [self.n + zlib.crc32(words[k]) for k in rare.tolist()]
+        return out
 
 
 def _profiles(head: list[bytes], shape: Shape):
@@ -237,7 +239,7 @@ class Trees:
     def log_share(self, leaves: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Log-probability of each leaf within its class."""
         token, turns, signs, slots = self.ways(leaves, keys)
-        return -np.bincount(token, np.log1p(np.exp(-self.lean(self.weights, turns, signs, slots))), len(leaves))
+        return -np.bincount(token, np.log(1 + np.exp(-self.lean(self.weights, turns, signs, slots))), len(leaves))
 
     def slope(self, gradient: np.ndarray, curve: np.ndarray, leaves: np.ndarray, keys: np.ndarray) -> None:
         """Adds the gradient towards the leaves, and its curvature, to arrays like weights."""
@@ -311,18 +313,25 @@ def history(ids: np.ndarray, slots: int) -> np.ndarray:
     return ((keys * mix >> shift) % np.uint64(slots)).astype(np.int64)
 
 
+def _by_class(weights: np.ndarray) -> np.ndarray:
+    """The same weights, those of a class side by side in memory."""
+    return np.ascontiguousarray(weights.transpose(0, 2, 1)).transpose(0, 2, 1)
+
+
 def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Scores of the classes, the largest of each token 0."""
-    z = bias + weights[0, features[0]]
-    for k in range(1, TEMPLATES):
-        z += weights[k, features[k]]
-    z -= z.max(axis=1, keepdims=True)
+    """Scores of the classes, a row each, the largest of each token 0."""
+    z = np.empty((len(bias), features.shape[1]), np.float32)
+    for c, row in enumerate(z):
+        row[:] = bias[c]
+        for k in range(TEMPLATES):
+            row += weights[k, :, c].take(features[k])
+    z -= z.max(axis=0)
     return z
 
 
 def _log_share(z: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Log-probability of each token's own class."""
-    return z[np.arange(len(own)), own] - np.log(np.exp(z).sum(axis=1))
+    return z[own, np.arange(len(own))] - np.log(np.exp(z).sum(axis=0))
 
 
 def _batches(batches: Iterator[pa.RecordBatch], index: Indexer, shape: Shape, column: int = 0):
@@ -347,22 +356,24 @@ def _train(model, shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         index, seen = Indexer(m.head, shape), False
-        gradient, times = np.zeros(m.weights.shape, np.float32), np.zeros(m.weights.shape[:2], np.float32)
+        weights = _by_class(m.weights)
+        gradient, times = _by_class(np.zeros(weights.shape, np.float32)), np.zeros(weights.shape[:2], np.float32)
         inner, curve = (np.zeros(m.trees.weights.shape, np.float32) for _ in range(2))
         for ids, keys in _batches(batches, index, shape):
             own, seen, features = m.class_of(ids), True, keys % shape.slots
             for at in range(0, len(ids), shape.batch):
                 f, c, i = features[:, at : at + shape.batch], own[at : at + shape.batch], ids[at : at + shape.batch]
                 m.trees.slope(inner, curve, m.leaf_of(i), keys[:, at : at + shape.batch])
-                slope = np.exp(_logits(m.weights, m.bias, f))
-                slope /= slope.sum(axis=1, keepdims=True)
-                slope[np.arange(len(c)), c] -= 1
+                slope = np.exp(_logits(weights, m.bias, f))
+                slope /= slope.sum(axis=0)
+                slope[c, np.arange(len(c))] -= 1
                 for k in range(TEMPLATES):
-                    order = np.argsort(f[k].astype(np.min_scalar_type(shape.slots - 1)), kind="stable")
-                    placed = f[k][order]
-                    starts = np.flatnonzero(np.concatenate(([True], placed[1:] != placed[:-1])))
-                    gradient[k, placed[starts]] += np.add.reduceat(slope[order], starts, axis=0)
-                    times[k, placed[starts]] += np.diff(starts, append=len(placed))
+                    # with many slots, only those that the batch has are added up
+                    at_slot, number = (slice(None), f[k]) if shape.slots <= shape.batch else np.unique(f[k], return_inverse=True)
+                    n_slots = shape.slots if shape.slots <= shape.batch else len(at_slot)
+                    times[k, at_slot] += np.bincount(number, minlength=n_slots)
+                    for j, miss in enumerate(slope):
+                        gradient[k, at_slot, j] += np.bincount(number, miss, n_slots)
         if seen:
             yield from _parts(np.concatenate([x.reshape(-1) for x in (gradient, times, inner, curve)]))
 
@@ -428,7 +439,7 @@ def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         index, shape = Indexer(m.head, m.shape), m.shape
-        base, n_head = m.base, len(m.head)
+        base, n_head, weights = m.base, len(m.head), _by_class(m.weights)
         for batch in batches:
             held, sizes, rare, rare_n, lengths = [], [], [], [], []
             scores: list[np.ndarray] = []
@@ -437,7 +448,7 @@ def _score(model):
                 if held:
                     ids, keys = np.concatenate([i for i, _ in held]), np.concatenate([k for _, k in held], axis=1)
                     own, features = m.class_of(ids), keys % shape.slots
-                    z = np.concatenate([_log_share(_logits(m.weights, m.bias, features[:, at : at + shape.batch]), own[at : at + shape.batch]) for at in range(0, len(ids), shape.batch)])
+                    z = np.concatenate([_log_share(_logits(weights, m.bias, features[:, at : at + shape.batch]), own[at : at + shape.batch]) for at in range(0, len(ids), shape.batch)])
                     known = ids < n_head
                     near = np.where(known, ids, 0)
                     starts = np.cumsum([0, *(len(i) for i, _ in held[:-1])])
