@@ -75,9 +75,14 @@ def date(value: Column, strict: bool = True) -> Column:
 def _date(text: Column, strict: bool) -> Column:
     formats = DATE_FORMATS + (() if strict else MONTH_FORMATS)
     # A regular expression guards each format, so no exception is made for other texts.
-    capital = F.initcap(text)
-    full = [F.when(capital.rlike(_shape(f)), F.try_to_date(capital, f)) for f in formats]
-    return F.when(text.rlike(r"^(?:19|20)\d{2}$"), F.make_date(F.when(text.rlike(r"^\d{4}$"), text).cast("int"), F.lit(1), F.lit(1))).otherwise(F.coalesce(*full))
+    full = lambda plain: F.coalesce(*(F.when(plain.rlike(_shape(f)), F.try_to_date(plain, f)) for f in formats))
+    return F.when(text.rlike(r"^(?:19|20)\d{2}$"), F.make_date(F.when(text.rlike(r"^\d{4}$"), text).cast("int"), F.lit(1), F.lit(1))).otherwise(X.let(_plain_date(text), full))
+
+
+def _plain_date(text: Column) -> Column:
+    """The text with months capitalized, and without ordinal endings and the dots of shortened months."""
+    cardinal = F.regexp_replace(text, r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1")
+    return F.initcap(F.regexp_replace(F.regexp_replace(cardinal, r"(?i)\b([a-z]{3,4})\.", "$1"), r"(?i)\bsept\b", "sep"))
 
 
 def _shape(date_format: str) -> str:

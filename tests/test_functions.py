@@ -20,7 +20,7 @@ def values(spark, rows, column):
 CASES = [
     (N.person_name, {"  jane   SMITH jr.": "Jane Smith JR", "JK rowling iii": "JK Rowling III", "": None, None: None, "o'neil": "O'neil", "ABCD": "Abcd"}),
     (N.phone, {"+1 (415) 555-0101": "+14155550101", "0044 20 1234": "+44201234", "555-0199": "5550199", "12345678901": "+12345678901", "123": None, None: None, "1" * 16: None}),
-    (lambda c: N.date(c).cast("string"), {"2015": "2015-01-01", "2020-03-04": "2020-03-04", "March 4, 2020": "2020-03-04", "4 Mar 2020": "2020-03-04", "Jan 2020": None, "soon": None, "2020-13-45": None, None: None}),
+    (lambda c: N.date(c).cast("string"), {"2015": "2015-01-01", "2020-03-04": "2020-03-04", "March 4, 2020": "2020-03-04", "4 Mar 2020": "2020-03-04", "March 4th, 2020": "2020-03-04", "1st sept. 2019": "2019-09-01", "Dec. 22nd 2020": "2020-12-22", "the 1st": None, "Jan 2020": None, "soon": None, "2020-13-45": None, None: None}),
     (lambda c: N.date(c, strict=False).cast("string"), {"Jan 2020": "2020-01-01", "january 2020": "2020-01-01"}),
     (X.canonical_url, {"https://LinkedIn.com": "https://linkedin.com/", "HTTP://A.b/C?d": "http://a.b/C?d", "ftp://x": None, None: None}),
     (skill_name, {" PYTHON ": "Python", "nodejs": "Node.js", "Excel": "Excel"}),
