@@ -27,13 +27,12 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +50,14 @@ DAMPING, TURN_DAMPING = 20.0, 5.0
 #: How far a weight moves in a round at most, so that features which go together don't overshoot together.
 FARTHEST = 0.75
 WIDE = 1 << 24  # numbers of a history before they are dealt to slots
+CLASS_BLOCK, BLOCK = 32_768, 16_384  # tokens whose classes and whose turns are worked out at a time: what is held of them stays in the cache, as do a template's weights
+SPACE = 0x20
+#: A byte in lower case, any white space as a blank.
+LOWER_BYTE = np.frombuffer(ASCII_LOWER.translate(bytes.maketrans(b"\t\n\v\f\r", b"     ")), np.uint8)
+
+#: What a byte does to a CRC-32, which zlib only gives inverted.
+CRC_BYTE = np.array([zlib.crc32(bytes([k])) for k in range(256)], np.uint32)
+CRC_BYTE = CRC_BYTE[np.arange(256) ^ 0xFF] ^ np.uint32(0xFF000000)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -58,19 +65,51 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split(), END]
 
 
-def _count(most: int = 300_000):
+def _slices(column: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Rows from and to of pieces of a column of texts that have about so many bytes."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(size):
+        end = max(at + 1, int(np.searchsorted(size, most + (size[at - 1] if at else 0), "right")))
+        yield at, end
+        at = end
+
+
+def token_table(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all texts of a column, one after the other as tokens() has them, and where each text begins."""
+    column = pc.fill_null(column, "").cast(pa.binary())
+    n = len(column)
+    _, borders, data = column.buffers()
+    borders = np.frombuffer(borders, np.int32)[column.offset : column.offset + n + 1] if n else np.zeros(1, np.int32)
+    text = np.frombuffer(data, np.uint8)[borders[0] : borders[-1]] if borders[-1] > borders[0] else np.zeros(0, np.uint8)
+    borders = borders.astype(np.int64) - borders[0]
+    text = LOWER_BYTE.take(text)
+    inside = text != SPACE
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    begin = borders[:-1][borders[:-1] < len(text)]
+    first[begin] = inside[begin]
+    starts = np.flatnonzero(first)
+    upto = np.searchsorted(starts, borders[1:])  # words of this text and those before it
+    offsets = np.append(np.cumsum(inside, dtype=np.int32)[starts] - 1, np.count_nonzero(inside)).astype(np.int32)
+    offsets = np.insert(offsets, upto, offsets[upto])  # the ends, of no length
+    words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(text[inside])])
+    return words, np.concatenate(([0], upto[:-1] + np.arange(1, n))) if n else np.zeros(0, np.int64)
+
+
+def _count(most: int = 2_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held: list[pa.Array] = []
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-            counts.clear()
-            return out
+            counts = pa.chunked_array(held, pa.binary()).value_counts()
+            held.clear()
+            return pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(tokens(text.as_py()))
-                if len(counts) > most:
+            for at, end in _slices(batch.column(0)):
+                held.append(token_table(batch.column(0).slice(at, end - at))[0])
+                if sum(map(len, held)) > most:
                     yield flush()
         yield flush()
 
@@ -81,7 +120,7 @@ def _count(most: int = 300_000):
 class Shape:
     """head: frequent words at most. anchors: of these, words whose company makes the profiles. clusters, bands: classes are clusters by frequency bands. slots: hashed features of a template.
 
-    turns: hashed features of a template in the trees, a power of two. groups: of the words beyond the head.
+    batch: training tokens whose gradients are summed at a time; as each sum goes through all slots and turns, they grow together. turns: hashed features of a template in the trees, a power of two. groups: of the words beyond the head.
     """
 
     head: int = 32_768
@@ -98,20 +137,45 @@ class Shape:
         """The shape for so many training tokens and distinct words."""
         power = lambda x: 1 << int(math.log2(max(x, 1)))
         root = math.sqrt(total)
-        return cls(head=max(cls.head, int(4 * root)), slots=max(cls.slots, power(2 * root)), turns=max(cls.turns, power(64 * root)), groups=max(cls.groups, power(math.sqrt(kinds))))
+        turns = max(cls.turns, power(64 * root))
+        return cls(head=max(cls.head, int(4 * root)), slots=max(cls.slots, power(2 * root)), batch=max(cls.batch, turns // 16), turns=turns, groups=max(cls.groups, power(math.sqrt(kinds))))
+
+
+def _crc32(words: pa.Array, longest: int = 32) -> np.ndarray:
+    """zlib.crc32 of each word; a byte of all words at a time, longer words one by one."""
+    _, borders, data = words.buffers()
+    borders = np.frombuffer(borders, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    length, out = np.diff(borders), np.full(len(words), 0xFFFFFFFF, np.uint32)
+    order = np.argsort(-length, kind="stable")
+    text, ends = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), np.searchsorted(-length[order], -np.arange(longest), "left")
+    order = order[np.searchsorted(-length[order], -longest, "left") :]
+    skipped = len(words) - len(order)
+    crc, begin = out[order], borders[:-1][order]
+    for k in range(longest):
+        n = ends[k] - skipped  # words with more than k bytes
+        if n <= 0:
+            break
+        crc[:n] = CRC_BYTE[(crc[:n] ^ text[begin[:n] + k]) & 0xFF] ^ (crc[:n] >> 8)
+    out[order] = ~crc
+    for k in np.flatnonzero(length >= longest).tolist():
+        out[k] = zlib.crc32(words[k].as_py())
+    return out
 
 
 class Indexer:
     """Words to numbers: the head by rank, any other word to head + its hash."""
 
     def __init__(self, head: list[bytes], shape: Shape):
-        self.rank, self.n = {w: k for k, w in enumerate(head)}, shape.head
+        self.head, self.n = pa.array(head, pa.binary()), shape.head
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        out = np.fromiter(map(self.rank.get, words, repeat(-1)), np.int64, len(words))
-        rare = np.flatnonzero(out < 0)
-        out[rare] = [self.n + zlib.crc32(words[k]) for k in rare.tolist()]
-        return out
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """The numbers, and which of the distinct words each is, and those."""
+        coded = words.dictionary_encode()
+        of, kinds = coded.indices.to_numpy(), coded.dictionary
+        number = pc.fill_null(pc.index_in(kinds, value_set=self.head), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        rare = np.flatnonzero(number < 0)
+        number[rare] = _crc32(kinds.take(pa.array(rare))).astype(np.int64) + self.n
+        return number[of], of, kinds
 
 
 def _profiles(head: list[bytes], shape: Shape):
@@ -120,14 +184,18 @@ def _profiles(head: list[bytes], shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, total = Indexer(head, shape), np.zeros((shape.head, shape.anchors), np.float32)
         for batch in batches:
-            for text in batch.column(0):
-                ids = index(tokens(text.as_py()))
-                ids, n = np.unique(ids[ids < shape.head], return_counts=True)
-                company = np.zeros(shape.anchors, np.float32)
-                few = ids < shape.anchors
-                company[ids[few]] = n[few]
-                if company.any():
-                    total[ids] += np.minimum(n, 3)[:, None].astype(np.float32) * (company / company.sum())
+            for at, end in _slices(batch.column(0)):
+                words, starts = token_table(batch.column(0).slice(at, end - at))
+                for ids in np.split(index(words)[0], starts[1:]):
+                    ids = np.sort(ids[ids < shape.head])
+                    new = np.flatnonzero(np.diff(ids, prepend=-1))
+                    n = np.diff(new, append=len(ids))
+                    ids = ids[new]
+                    few = np.searchsorted(ids, shape.anchors)
+                    if few:
+                        company = np.zeros(shape.anchors, np.float32)
+                        company[ids[:few]] = n[:few]
+                        total[ids] += np.minimum(n, 3)[:, None].astype(np.float32) * (company / company.sum())
         yield from _parts(total)
 
     return run
@@ -169,8 +237,8 @@ def _summed(parts: DataFrame, tasks: int) -> np.ndarray | None:
         parts = dealt.select("part", "task", "data").mapInArrow(_add, "part int, task int, data binary")
         if tasks <= 1:
             break
-    rows = parts.collect()
-    return np.concatenate([np.frombuffer(r["data"], np.float32) for r in sorted(rows, key=lambda r: r["part"])]) if rows else None
+    rows = sorted(parts.collect(), key=lambda r: r["part"])
+    return np.concatenate([np.frombuffer(r["data"], np.float32) for r in rows]) if rows else None
 
 
 def cluster(profiles: np.ndarray, weight: np.ndarray, n: int, rounds: int = 25) -> np.ndarray:
@@ -219,15 +287,15 @@ class Trees:
     weights: np.ndarray
 
     def ways(self, leaves: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Of all turns on the ways to the leaves: which leaf of those given, number, sign and hashed features. keys: wide history of the leaves."""
+        """How many turns the way to each leaf has; of all of them number, sign and hashed features. keys: wide history of the leaves."""
         begin = self.first[leaves]
         n = self.first[leaves + 1] - begin
-        token = np.repeat(np.arange(len(leaves)), n)
-        at = np.arange(len(token)) + np.repeat(begin - np.cumsum(n) + n, n)
+        at = np.repeat(begin - np.cumsum(n) + n, n)
+        at += np.arange(len(at))
         turns = self.turns.take(at, mode="clip") if len(at) else self.turns[:0]
         mixed, shift = turns.astype(np.uint32) * np.uint32(0x85EBCA6B), np.uint32(33 - self.weights.shape[1].bit_length())
         words = keys.astype(np.uint32) * np.uint32(0x9E3779B1)
-        return token, turns, self.signs[at], [((np.repeat(w, n) ^ mixed) * np.uint32(0xC2B2AE35) >> shift).astype(np.intp) for w in words]
+        return n, turns, self.signs.take(at, mode="clip") if len(at) else self.signs[:0], [((np.repeat(w, n) ^ mixed) * np.uint32(0xC2B2AE35) >> shift).astype(np.intp) for w in words]
 
     def lean(self, weights: np.ndarray, turns: np.ndarray, signs: np.ndarray, slots: list[np.ndarray]) -> np.ndarray:
         """How far each turn leans to the side that its sign asks for."""
@@ -238,17 +306,24 @@ class Trees:
 
     def log_share(self, leaves: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Log-probability of each leaf within its class."""
-        token, turns, signs, slots = self.ways(leaves, keys)
-        return -np.bincount(token, np.log(1 + np.exp(-self.lean(self.weights, turns, signs, slots))), len(leaves))
+        n, turns, signs, slots = self.ways(leaves, keys)
+        upto = np.concatenate(([0], np.cumsum(np.log(1 + np.exp(-self.lean(self.weights, turns, signs, slots))), dtype=np.float64)))
+        end = np.cumsum(n)
+        return upto[end - n] - upto[end]
 
     def slope(self, gradient: np.ndarray, curve: np.ndarray, leaves: np.ndarray, keys: np.ndarray) -> None:
-        """Adds the gradient towards the leaves, and its curvature, to arrays like weights."""
-        _, turns, signs, slots = self.ways(leaves, keys)
-        miss = 1 / (1 + np.exp(self.lean(self.weights, turns, signs, slots)))
-        uphill, bend = signs * miss, miss * (1 - miss)
+        """Adds the gradient towards the leaves, and its curvature, to arrays like weights. A table of a template's size is summed for each call, so leaves are best many."""
+        found = []
+        for at in range(0, len(leaves), BLOCK):
+            _, turns, signs, slots = self.ways(leaves[at : at + BLOCK], keys[:, at : at + BLOCK])
+            miss = 1 / (1 + np.exp(self.lean(self.weights, turns, signs, slots)))
+            found.append((signs * miss, miss * (1 - miss), *(s.astype(np.int32) for s in slots)))
+        uphill, bend, *slots = (np.concatenate(x) for x in zip(*found))
+        uphill, bend = uphill.astype(np.float64), bend.astype(np.float64)
         for k in range(TEMPLATES):
-            np.add.at(gradient[k], slots[k], uphill)
-            np.add.at(curve[k], slots[k], bend)
+            at = slots[k].astype(np.intp)
+            gradient[k] += np.bincount(at, uphill, gradient.shape[1])
+            curve[k] += np.bincount(at, bend, curve.shape[1])
 
 
 def grow(own: np.ndarray, mass: np.ndarray, turns: int) -> Trees:
@@ -304,13 +379,19 @@ class Model:
         return np.where(ids < len(self.own), self.own[np.minimum(ids, max(len(self.own) - 1, 0))] if len(self.own) else 0, 0)
 
 
-def history(ids: np.ndarray, slots: int) -> np.ndarray:
-    """TEMPLATES x tokens: hashed features of what stands before each token of a text."""
-    before = np.concatenate((np.full(3, 1 << 40, np.int64), ids[:-1])).astype(np.uint64)
-    one, two, three = before[2:], before[1:-1], before[:-2]
+def history(ids: np.ndarray, slots: int, starts: np.ndarray | tuple = (0,)) -> np.ndarray:
+    """TEMPLATES x tokens: hashed features of what stands before each token of a text. starts: where texts begin, none of which is empty."""
+    outside, starts = 1 << 40, np.asarray(starts, np.int64)
+    before = np.concatenate((np.full(3, outside, np.int64), ids[:-1]))
+    one, two, three = (before[k : k + len(ids)].copy() for k in (2, 1, 0))
+    for far, words in enumerate((one, two, three), 1):
+        for k in range(far):
+            words[starts[starts + k < len(ids)] + k] = outside
+    one, two, three = (words.view(np.uint64) for words in (one, two, three))
     mix, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(40)
-    keys = np.stack((one, two + np.uint64(1 << 50), three + np.uint64(1 << 51), one * np.uint64(0xBF58476D1CE4E5B9) + two))
-    return ((keys * mix >> shift) % np.uint64(slots)).astype(np.int64)
+    keys = (one, two + np.uint64(1 << 50), three + np.uint64(1 << 51), one * np.uint64(0xBF58476D1CE4E5B9) + two)
+    out = np.stack([(key * mix >> shift).astype(np.uint32) for key in keys])
+    return out if slots == WIDE else out % np.uint32(slots)
 
 
 def _by_class(weights: np.ndarray) -> np.ndarray:
@@ -335,17 +416,21 @@ def _log_share(z: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 def _batches(batches: Iterator[pa.RecordBatch], index: Indexer, shape: Shape, column: int = 0):
-    """(ids, wide history) of about shape.batch tokens."""
+    """(ids, wide history) of shape.batch tokens, those of the last fewer."""
     held, n = [], 0
     for batch in batches:
-        for text in batch.column(column):
-            words = tokens(text.as_py())
-            ids = index(words)
-            held.append((ids, history(ids, WIDE)))
-            n += len(ids)
-            if n >= shape.batch:
+        for at, end in _slices(batch.column(column)):
+            words, starts = token_table(batch.column(column).slice(at, end - at))
+            ids = index(words)[0]
+            keys = history(ids, WIDE, starts)
+            done = 0
+            while n + len(ids) - done >= shape.batch:
+                held.append((ids[done : done + shape.batch - n], keys[:, done : done + shape.batch - n]))
                 yield np.concatenate([i for i, _ in held]), np.concatenate([f for _, f in held], axis=1)
-                held, n = [], 0
+                done, n, held = done + shape.batch - n, 0, []
+            if done < len(ids):
+                held.append((ids[done:], keys[:, done:]))
+                n += len(ids) - done
     if held:
         yield np.concatenate([i for i, _ in held]), np.concatenate([f for _, f in held], axis=1)
 
@@ -360,20 +445,17 @@ def _train(model, shape: Shape):
         gradient, times = _by_class(np.zeros(weights.shape, np.float32)), np.zeros(weights.shape[:2], np.float32)
         inner, curve = (np.zeros(m.trees.weights.shape, np.float32) for _ in range(2))
         for ids, keys in _batches(batches, index, shape):
-            own, seen, features = m.class_of(ids), True, keys % shape.slots
-            for at in range(0, len(ids), shape.batch):
-                f, c, i = features[:, at : at + shape.batch], own[at : at + shape.batch], ids[at : at + shape.batch]
-                m.trees.slope(inner, curve, m.leaf_of(i), keys[:, at : at + shape.batch])
-                slope = np.exp(_logits(weights, m.bias, f))
-                slope /= slope.sum(axis=0)
-                slope[c, np.arange(len(c))] -= 1
-                for k in range(TEMPLATES):
-                    # with many slots, only those that the batch has are added up
-                    at_slot, number = (slice(None), f[k]) if shape.slots <= shape.batch else np.unique(f[k], return_inverse=True)
-                    n_slots = shape.slots if shape.slots <= shape.batch else len(at_slot)
-                    times[k, at_slot] += np.bincount(number, minlength=n_slots)
-                    for j, miss in enumerate(slope):
-                        gradient[k, at_slot, j] += np.bincount(number, miss, n_slots)
+            own, seen, features = m.class_of(ids), True, (keys % np.uint32(shape.slots)).astype(np.intp)
+            m.trees.slope(inner, curve, m.leaf_of(ids), keys)
+            slope = np.empty((m.n_classes(), len(ids)), np.float64)
+            for at in range(0, len(ids), CLASS_BLOCK):
+                z = np.exp(_logits(weights, m.bias, features[:, at : at + CLASS_BLOCK]))
+                np.divide(z, z.sum(axis=0), out=slope[:, at : at + CLASS_BLOCK])
+            slope[own, np.arange(len(own))] -= 1
+            for k in range(TEMPLATES):
+                times[k] += np.bincount(features[k], minlength=shape.slots)
+                for j, miss in enumerate(slope):
+                    gradient[k, :, j] += np.bincount(features[k], miss, shape.slots)
         if seen:
             yield from _parts(np.concatenate([x.reshape(-1) for x in (gradient, times, inner, curve)]))
 
@@ -384,9 +466,11 @@ def _stepped(m: Model, sums: np.ndarray, rate: float, turn_rate: float) -> Model
     """The model after one step along the sums of _train."""
     n_times, n_inner = TEMPLATES * m.shape.slots, m.trees.weights.size
     gradient, times, inner, curve = np.split(sums, np.cumsum([m.weights.size, n_times, n_inner]))
-    move = np.float32(rate) * gradient.reshape(m.weights.shape) / (times + np.float32(DAMPING)).reshape(TEMPLATES, -1, 1)
-    turn = (np.float32(turn_rate) * inner / (curve + np.float32(TURN_DAMPING))).reshape(m.trees.weights.shape)
-    weights, turns = m.weights - move.clip(-FARTHEST, FARTHEST), m.trees.weights + turn.clip(-FARTHEST, FARTHEST)
+    move = np.float32(rate) * gradient.reshape(m.weights.shape)
+    move /= (times + np.float32(DAMPING)).reshape(TEMPLATES, -1, 1)
+    turn = np.float32(turn_rate) * inner
+    turn /= curve + np.float32(TURN_DAMPING)
+    weights, turns = m.weights - move.clip(-FARTHEST, FARTHEST, out=move), m.trees.weights + turn.clip(-FARTHEST, FARTHEST, out=turn).reshape(m.trees.weights.shape)
     return replace(m, weights=weights, trees=replace(m.trees, weights=turns))
 
 
@@ -429,9 +513,9 @@ def fit(train: DataFrame, counts: DataFrame, total: int, shape: Shape, rounds: t
         part = train.filter((fold >= before) & (fold < before + share)).select("text").coalesce(few)
         sums = _summed(part.mapInArrow(_train(sent, shape), "part int, task int, data binary"), few)
         before += share
+        sent.destroy()  # else the driver keeps its copy until its JVM collects garbage
         if sums is not None:
             model = _stepped(model, sums, rate, turn_rate)
-        sent.unpersist()
     return model
 
 
@@ -440,45 +524,31 @@ def _score(model):
         m: Model = model.value
         index, shape = Indexer(m.head, m.shape), m.shape
         base, n_head, weights = m.base, len(m.head), _by_class(m.weights)
-        for batch in batches:
-            held, sizes, rare, rare_n, lengths = [], [], [], [], []
-            scores: list[np.ndarray] = []
-
-            def flush() -> None:
-                if held:
-                    ids, keys = np.concatenate([i for i, _ in held]), np.concatenate([k for _, k in held], axis=1)
-                    own, features = m.class_of(ids), keys % shape.slots
-                    z = np.concatenate([_log_share(_logits(weights, m.bias, features[:, at : at + shape.batch]), own[at : at + shape.batch]) for at in range(0, len(ids), shape.batch)])
-                    known = ids < n_head
-                    near = np.where(known, ids, 0)
-                    starts = np.cumsum([0, *(len(i) for i, _ in held[:-1])])
-                    score = z.astype(np.float64)
-                    leaves = m.leaf_of(ids)
-                    for at in range(0, len(ids), shape.batch):
-                        score[at : at + shape.batch] += m.trees.log_share(leaves[at : at + shape.batch], keys[:, at : at + shape.batch])
-                    score = score / math.log(10) - np.where(known, 0, m.shared[np.maximum(leaves - n_head, 0)])
-                    scores.append(np.stack([np.add.reduceat(score, starts), np.add.reduceat(np.where(known, base[near], 0) if n_head else np.zeros(len(ids)), starts), np.add.reduceat(known.astype(np.float64), starts)]))
-                    held.clear()
-
-            waiting = 0
-            for text in batch.column(1):
-                words = tokens(text.as_py())
-                ids = index(words)
-                held.append((ids, history(ids, WIDE)))
-                sizes.append(len(ids))
-                few = Counter(words[k] for k in np.flatnonzero(ids >= n_head).tolist())
-                rare += few
-                rare_n += few.values()
-                lengths.append(len(few))
-                waiting += len(ids)
-                if waiting >= shape.batch:
-                    flush()
-                    waiting = 0
-            flush()
-            found = np.concatenate(scores, axis=1) if scores else np.zeros((3, 0))
-            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(rare_n, pa.int32())], ["word", "times"])
-            rows = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]).astype(np.int32)), pairs)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(found[0]), pa.array(found[1]), pa.array(found[2].astype(np.int64)), rows], ["doc_id", "n_tokens", "score", "base", "known", "rare"])
+        for whole in batches:
+            for begin, end in _slices(whole.column(1)):
+                batch = whole.slice(begin, end - begin)
+                words, starts = token_table(batch.column(1))
+                ids, of, kinds = index(words)
+                keys, own, leaves = history(ids, WIDE, starts), m.class_of(ids), m.leaf_of(ids)
+                known, sizes = ids < n_head, np.diff(starts, append=len(ids))
+                score = np.empty(len(ids))
+                for at in range(0, len(ids), CLASS_BLOCK):
+                    near = slice(at, at + CLASS_BLOCK)
+                    features = (keys[:, near] % np.uint32(shape.slots)).astype(np.intp)
+                    score[near] = _log_share(_logits(weights, m.bias, features), own[near])
+                for at in range(0, len(ids), BLOCK):
+                    score[at : at + BLOCK] += m.trees.log_share(leaves[at : at + BLOCK], keys[:, at : at + BLOCK])
+                others = np.flatnonzero(~known)
+                score /= math.log(10)
+                score[others] -= m.shared[leaves[others] - n_head]
+                counted = np.where(known, base[np.where(known, ids, 0)], 0) if n_head else np.zeros(len(ids))
+                found = [np.add.reduceat(x, starts) for x in (score, counted, known.astype(np.int64))]
+                row = np.repeat(np.arange(len(sizes)), sizes)[others]
+                pairs, times = np.unique(row * len(kinds) + of[others], return_counts=True)  # each text's words beyond the head
+                lengths = np.bincount(pairs // len(kinds), minlength=len(sizes))
+                rare = pa.StructArray.from_arrays([kinds.take(pa.array(pairs % len(kinds))), pa.array(times, pa.int32())], ["word", "times"])
+                rows = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]).astype(np.int32)), rare)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(found[0]), pa.array(found[1]), pa.array(found[2], pa.int64()), rows], ["doc_id", "n_tokens", "score", "base", "known", "rare"])
 
     return run
 
@@ -497,7 +567,9 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: S
     base_log = math.log10(total + kinds + 1)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, n_tokens long, score double, base double, known long, rare array<struct<word: binary, times: int>>"
+    del model
     partial = materialize(docs.mapInArrow(_score(sent), schema).withColumn("row", F.monotonically_increasing_id()), "partial")
+    sent.destroy()
     rare = partial.select("row", F.inline("rare")).join(counts.hint("shuffle_hash"), "word", "left")
     times, n = F.col("times"), F.coalesce("n", F.lit(0))
     tails = rare.groupBy("row").agg(F.sum(times * F.log10(n + 1)).alias("tail"), F.sum(F.when(n > 0, times).otherwise(0)).alias("tail_known"))

@@ -2,12 +2,16 @@
 
 import hashlib
 import math
+import os
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -394,6 +398,70 @@ def test_maxent_grows(spark):
     assert 0 < len(model.head) <= 20 and np.allclose(10**model.shared, [sums[k] for k in range(16)])
 
 
+def test_maxent_token_table():
+    draw = random.Random(21)
+    texts = ["".join(draw.choice("aAZé\u3000\x1c\x85 \t\n\v\f\r  x") for _ in range(draw.randrange(40))) for _ in range(300)] + [None, "", " ", "w" * 99]
+    draw.shuffle(texts)
+    for column in (pa.array(texts), pa.array(["cut off", *texts, "cut"]).slice(1, len(texts)), pa.array(texts, pa.large_string()), pa.array([None], pa.string()), pa.array([], pa.string())):
+        expected = [maxent.tokens(t) for t in column.to_pylist()]
+        words, starts = maxent.token_table(column)
+        assert words.to_pylist() == [w for t in expected for w in t]
+        assert starts.tolist() == [sum(map(len, expected[:k])) for k in range(len(expected))]
+        assert [k for piece in maxent._slices(column, 50) for k in range(*piece)] == list(range(len(column)))
+    head, shape = [b"", b"x", b"a"], maxent.Shape(head=4)
+    words, starts = maxent.token_table(pa.array(texts))
+    ids, of, kinds = maxent.Indexer(head, shape)(words)
+    assert ids.tolist() == [head.index(w) if w in head else 4 + zlib.crc32(w) for w in words.to_pylist()] and kinds.take(pa.array(of)).equals(words)
+    one_by_one = [maxent.history(t, 256) for t in np.split(ids, starts[1:])]
+    assert (maxent.history(ids, 256, starts) == np.concatenate(one_by_one, axis=1)).all()
+
+
+def test_maxent_sums_gradients_of_turns():
+    draw = np.random.default_rng(22)
+    trees = maxent.grow(np.full(3000, 2), 1e6 / np.arange(1, 3001), 1 << 12)
+    trees.weights[:] = draw.normal(size=trees.weights.shape)
+    leaves, keys = draw.integers(0, 3000, 40_000), draw.integers(0, maxent.WIDE, (4, 40_000))  # several blocks
+    gradient, curve, plain, bend = (np.zeros(trees.weights.shape, t) for t in (np.float32, np.float32, float, float))
+    trees.slope(gradient, curve, leaves, keys)
+    _, turns, signs, slots = trees.ways(leaves, keys)
+    miss = 1 / (1 + np.exp(trees.lean(trees.weights, turns, signs, slots).astype(float)))
+    for k in range(4):
+        np.add.at(plain[k], slots[k], signs * miss)
+        np.add.at(bend[k], slots[k], miss * (1 - miss))
+    assert np.allclose(gradient, plain, rtol=1e-4, atol=1e-2) and np.allclose(curve, bend, rtol=1e-4, atol=1e-2)
+
+
+def test_maxent_calls_python_once_a_column():
+    """Each pass goes through the texts of a batch together: ten times the texts take few calls more, not ten times as many."""
+    head, shape = [f"w{k}".encode() for k in range(30)], maxent.Shape(head=32, anchors=4, slots=64, turns=1 << 8, groups=4)
+    own, n = np.full(30, 2), np.arange(60.0, 30, -1)
+    trees = maxent.grow(np.concatenate((own, np.zeros(4, int))), np.concatenate((n, np.ones(4))), shape.turns)
+    model = maxent.Model(shape, head, own, np.log10(n / n.sum()), np.log10(n + 1), np.zeros((4, 64, 3), np.float32), np.zeros(3, np.float32), trees, np.zeros(4))
+    draw, sent = random.Random(23), SimpleNamespace(value=model)
+
+    def calls(run, n_texts):
+        column, seen = pa.array([" ".join(words(draw, 30, 60)) for _ in range(n_texts)]), Counter()
+        batch = pa.RecordBatch.from_arrays([column], ["text"]) if run is not maxent._score else pa.RecordBatch.from_arrays([pa.array(range(n_texts)), column], ["doc_id", "text"])
+        made = run(sent, shape) if run is maxent._train else run(sent) if run is maxent._score else run()
+        sys.setprofile(lambda _, event, __: seen.update([event]))
+        try:
+            list(made([batch]))
+        finally:
+            sys.setprofile(None)
+        return seen["call"] + seen["c_call"]
+
+    for run in (maxent._count, maxent._train, maxent._score):
+        calls(run, 40)  # modules that are loaded with the first use
+        assert calls(run, 400) < 2 * calls(run, 40)
+
+
+def test_maxent_leaves_no_broadcasts(spark):
+    files = lambda: len(os.listdir(spark.sparkContext._temp_dir))
+    before = files()
+    out = maxent.score_documents(table(spark, [(k, f"w{k % 3} w{k % 5}", "s") for k in range(40)]), shape=maxent.Shape(head=16, anchors=2, clusters=1, bands=1, slots=64, turns=64))
+    assert out.count() == 40 and files() == before
+
+
 def test_toxicity_grammar():
     reader = toxicity.Model({"idiot": 2.0}, {"scum": 1.0}).reader()
     of = lambda text: {k for k, x in zip(toxicity.KINDS, toxicity.match(text, reader)) if x}
