@@ -8,7 +8,11 @@ URL = r"(?i)\b(?:https?://|www\.)[^\s<>]+"
 YEAR = r"\b(?:19|20)\d{2}\b"
 MONTH = r"(?:jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)[a-z]*\s+\d{4}"
 DATE_RANGE = rf"(?i)\b{MONTH}\s*[-to]+\s*(?:(?:present|current)|{MONTH})\b"
+FOUR_DIGITS = r"\d{4}"
+PLACE_AFTER = r"(?i:(?:^| )(?:in|at|from|based)) ,*\p{Lu}"
 SPACE = r"(?U)\s+"
+#: White space that isn't one plain space already.
+RAGGED_SPACE = r"(?U) \s+|[^\S ]\s*"
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 SENTENCE_BREAK = r"(?<=[.!?\n])\s+"
 SECTION = r"(?i)^(summary|profile|experience|work experience|projects|education|skills|certifications|contact)\b"

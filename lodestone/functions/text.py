@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,12 +26,17 @@ def trim(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """White space collapsed and trimmed."""
-    return F.trim(F.regexp_replace(text, P.SPACE, " "))
+    return F.trim(F.regexp_replace(text, P.RAGGED_SPACE, " "))
+
+
+def filled(text: Column) -> Column:
+    """The text, or null if it is empty. Unlike nullif, which inside a list function is expanded to two copies, it computes the text once."""
+    return F.get(F.array_remove(F.array(text), ""), F.lit(0))
 
 
 def clean(text: Column) -> Column:
     """White space collapsed and trimmed; nothing left gives null."""
-    return F.nullif(squeeze(text), F.lit(""))
+    return filled(squeeze(text))
 
 
 def strip(text: Column, characters: str) -> Column:
@@ -44,7 +50,11 @@ def some(items: Column) -> Column:
 
 def distinct_by(items: Column, key: Callable[[Column], Column]) -> Column:
     """The items whose key no earlier item has, in order."""
-    by_key = lambda found: let(F.transform(found, lambda x: key(x)), lambda keys: F.filter(found, lambda x, i: F.array_position(keys, F.get(keys, i)) == i + 1))
+    # Equal keys are neighbours once sorted, so a long list takes no time for each pair of items.
+    sort = lambda keys: F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
+    new = lambda found, s: F.transform(F.array_sort(F.transform(F.filter(s, lambda x, j: (j == 0) | (x.k != F.get(s, j - 1).k)), lambda x: x.i)), lambda i: F.get(found, i))
+    all_new = lambda keys: (F.size(keys) <= 1) | (F.size(F.array_distinct(keys)) == F.size(keys))
+    by_key = lambda found: let(F.transform(found, lambda x: key(x)), lambda keys: F.when(all_new(keys), found).otherwise(let(sort(keys), lambda s: new(found, s))))
     return let(items, by_key)
 
 
@@ -63,12 +73,12 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
 
 def match(text: Column, pattern: str, group: int = 0) -> Column:
     """The group of the first match, or null."""
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    return filled(F.regexp_extract(text, pattern, group))
 
 
 def any_in(text: Column, words: list[str]) -> Column:
     """Whether the text has any of the words anywhere."""
-    return text.rlike("|".join("\\Q" + w + "\\E" for w in words))
+    return reduce(lambda a, b: a | b, (text.contains(w) for w in words))
 
 
 def lines(text: Column) -> Column:

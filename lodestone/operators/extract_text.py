@@ -61,29 +61,34 @@ def person(lines: Column) -> Column:
 
 
 def organizations(sentences: Column) -> Column:
-    """Pairs of adjacent capitalized words that have a company word somewhere."""
+    """Pairs of adjacent capitalized words that have a company word somewhere. Only sentences that have one are split, each once."""
 
-    def pairs(sentence: Column) -> Column:
-        w = F.split(sentence, " ")
+    def pairs(w: Column) -> Column:
         both = F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.struct(x.alias("a"), F.get(w, i + 1).alias("b")))
         good = F.filter(both, lambda p: X.capital(p.a) & X.capital(p.b) & X.any_in(F.lower(F.concat_ws(" ", p.a, p.b)), D.ORGANIZATION_WORDS))
         return F.transform(good, lambda p: F.concat_ws(" ", p.a, p.b))
 
-    return X.distinct(F.flatten(F.transform(sentences, pairs)))
+    named = F.filter(sentences, lambda s: X.let(F.lower(s), lambda low: X.any_in(low, D.ORGANIZATION_WORDS)))
+    return X.distinct(F.flatten(F.transform(named, lambda s: X.let(F.split(s, " "), pairs))))
 
 
 def place_mentions(sentences: Column) -> Column:
-    """Capitalized words after in, at, from or based, and what follows a location label."""
+    """Capitalized words after in, at, from or based, and what follows a location label. Only sentences that have these are split, each once."""
 
-    def mentions(sentence: Column) -> Column:
-        w = F.split(sentence, " ")
+    def mentions(w: Column) -> Column:
         bare = lambda x: X.strip(x, ",")
         triples = F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.struct(x.alias("p"), bare(F.get(w, i + 1)).alias("a"), F.get(w, i + 2).alias("b")))
         good = F.filter(triples, lambda t: F.lower(t.p).isin(D.PLACE_PREPOSITIONS) & X.capital(t.a))
-        places = F.transform(good, lambda t: F.when(X.capital(t.b), F.concat_ws(" ", t.a, bare(t.b))).otherwise(t.a))
-        return F.concat(places, X.matches(sentence, P.LOCATION_LABEL, 1))
+        return F.transform(good, lambda t: F.when(X.capital(t.b), F.concat_ws(" ", t.a, bare(t.b))).otherwise(t.a))
 
-    return X.distinct(F.flatten(F.transform(sentences, mentions)))
+    both = lambda s: F.concat(F.when(s.rlike(P.PLACE_AFTER), X.let(F.split(s, " "), mentions)).otherwise(X.no_strings()), labels(s))
+    return X.distinct(F.flatten(F.transform(sentences, both)))
+
+
+def labels(text: Column) -> Column:
+    """What follows a location label."""
+    labelled = X.let(F.lower(text), lambda low: X.any_in(low, D.LOCATION_LABELS))
+    return F.when(labelled, X.matches(text, P.LOCATION_LABEL, 1)).otherwise(X.no_strings())
 
 
 def clean_entity(value: Column) -> Column:
@@ -123,22 +128,21 @@ def header_places(lines: Column) -> Column:
             line = F.regexp_replace(line, pattern, " ")
         return F.transform(F.filter(F.split(line, r"[|/]"), lambda s: s.contains(",")), lambda s: X.strip(s, " -,:"))
 
-    return F.flatten(F.transform(block, parts))
+    return F.flatten(F.transform(F.filter(block, lambda line: line.contains(",")), parts))
 
 
 def labelled_places(items: Column) -> Column:
-    return F.flatten(F.transform(items, lambda s: F.transform(X.matches(s, P.LOCATION_LABEL, 1), lambda m: X.strip(m, " -,:"))))
+    return F.flatten(F.transform(items, lambda s: F.transform(labels(s), lambda m: X.strip(m, " -,:"))))
 
 
 def sentence_places(sentences: Column, keywords: list[str]) -> Column:
     """Of sentences with a keyword: labelled places and the last two parts between commas."""
 
     def places(s: Column) -> Column:
-        parts = X.some(F.transform(F.split(s, ","), X.trim))
-        last = F.when(F.size(parts) >= 2, F.array(F.concat_ws(", ", F.element_at(parts, -2), F.element_at(parts, -1)))).otherwise(X.no_strings())
-        return F.concat(labelled_places(F.array(s)), last)
+        last = lambda parts: F.when(F.size(parts) >= 2, F.array(F.concat_ws(", ", F.element_at(parts, -2), F.element_at(parts, -1)))).otherwise(X.no_strings())
+        return F.concat(labelled_places(F.array(s)), X.let(X.some(F.transform(F.split(s, ","), X.trim)), last))
 
-    return F.flatten(F.transform(F.filter(sentences, lambda s: X.any_in(F.lower(s), keywords)), places))
+    return F.flatten(F.transform(F.filter(sentences, lambda s: X.let(F.lower(s), lambda low: X.any_in(low, keywords))), places))
 
 
 def places(lines: Column, sentences: Column, mentions: Column) -> Column:
@@ -148,12 +152,12 @@ def places(lines: Column, sentences: Column, mentions: Column) -> Column:
 
 
 def contained(text: Column, names: Column) -> Column:
-    return F.filter(names, lambda n: F.lower(text).contains(F.lower(n)))
+    return X.let(F.lower(text), lambda low: F.filter(names, lambda n: low.contains(F.lower(n))))
 
 
 def degree(line: Column) -> Column:
     """The first degree word that the line has anywhere."""
-    return X.first(F.filter(D.strings(D.DEGREE_WORDS), lambda w: F.lower(line).contains(w)))
+    return X.let(F.lower(line), lambda low: X.first(F.filter(D.strings(D.DEGREE_WORDS), lambda w: low.contains(w))))
 
 
 def institution(line: Column, known: Column) -> Column:
@@ -179,7 +183,7 @@ def _after(text: Column, word: Column) -> Column:
 
 def education(lines: Column, known: Column) -> Column:
     item = lambda s: F.struct(s.alias("text"), institution(s, known).alias("institution"), degree(s).alias("degree"), field_of_study(s).alias("field_of_study"), F.coalesce(X.clean(X.match(s, P.DATE_RANGE)), X.match(s, P.YEAR)).alias("date_text"))
-    items = F.transform(F.filter(lines, lambda s: X.any_in(F.lower(s), D.EDUCATION_WORDS)), item)
+    items = F.transform(F.filter(lines, lambda s: X.let(F.lower(s), lambda low: X.any_in(low, D.EDUCATION_WORDS))), item)
     return F.filter(items, lambda e: F.coalesce(e.institution, e.degree, e.field_of_study, e.date_text).isNotNull())
 
 
@@ -214,7 +218,7 @@ def _experience_item(line: Column, p: Column) -> Column:
 
 def experience(lines: Column, known: Column) -> Column:
     bullet = lambda s: F.substring(s, 1, 1).isin(*P.BULLETS)
-    there = F.filter(lines, lambda s: ~bullet(s) & (X.any_in(F.lower(s), D.EXPERIENCE_WORDS) | s.rlike(P.DATE_RANGE)))
+    there = F.filter(lines, lambda s: ~bullet(s) & (X.let(F.lower(s), lambda low: X.any_in(low, D.EXPERIENCE_WORDS)) | (s.rlike(P.FOUR_DIGITS) & s.rlike(P.DATE_RANGE))))
     return F.filter(F.transform(there, lambda s: experience_item(s, known)), lambda e: F.coalesce(e.title, e.organization, e.date_range_text).isNotNull())
 
 

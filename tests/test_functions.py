@@ -121,3 +121,27 @@ def test_score_branches(spark):
     assert [f[3] for f in found] == [1.0, 0.8, 0.6, 0.3, 0.5]
     assert [f[4] for f in found] == [1.0, 0.9, 1.0, 0.8, 0.5]
     assert [f[5] for f in found] == [0.12] * 2 + [0.0] + [0.12] * 2 and [f[6] for f in found] == [1.0, 0.8, 0.6, 0.3, 1.0]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_are_split_and_matched_once(spark):
+    """Work in a list function isn't repeated for each word: the plan names each split and match once."""
+    df = spark.createDataFrame([("He left Acme Labs in Lyon, France",)], "t string").select(F.array("t").alias("s"))
+    assert _plan(df.select(extract_text.organizations(F.col("s")).alias("x"))).count("split(") == 1
+    assert _plan(df.select(extract_text.place_mentions(F.col("s")).alias("x"))).count("split(") == 1
+    assert _plan(df.select(F.transform("s", X.clean).alias("x"))).count("regexp_replace(") == 1
+    row = df.select(extract_text.organizations(F.col("s")).alias("o"), extract_text.place_mentions(F.col("s")).alias("p")).first()
+    assert (row.o, row.p) == (["Acme Labs"], ["Lyon France"])
+
+
+def test_distinct_of_long_lists_keeps_first_items_in_order(spark):
+    items = [f"{'aA'[k % 2]}{k * 7919 % 1500}" for k in range(4000)] + [None, "", "ΣΊΣ", "σίς"]
+    kept = {}
+    for x in items:
+        if x:
+            kept.setdefault(x.lower(), x)
+    found = spark.createDataFrame([(items,)], "a array<string>").select(X.distinct(F.col("a"))).first()[0]
+    assert found[:1500] == list(kept.values())[:1500] and len(found) in (len(kept), len(kept) + 1)
