@@ -173,7 +173,7 @@ def field_of_study(line: Column) -> Column:
 
 def _study(tail: Column) -> Column:
     cut = F.element_at(F.split(F.element_at(F.split(tail, P.STUDY_END, 2), 1), P.YEAR, 2), 1)
-    return X.let(X.clean(X.strip(cut, _EDGES)), lambda text: F.when(F.size(F.split(text, " ")) <= 6, text))
+    return X.let(X.let(X.strip(cut, _EDGES), X.clean), lambda text: F.when(F.size(F.split(text, " ")) <= 6, text))
 
 
 def _after(text: Column, word: Column) -> Column:
@@ -182,7 +182,7 @@ def _after(text: Column, word: Column) -> Column:
 
 
 def education(lines: Column, known: Column) -> Column:
-    item = lambda s: F.struct(s.alias("text"), institution(s, known).alias("institution"), degree(s).alias("degree"), field_of_study(s).alias("field_of_study"), F.coalesce(X.clean(X.match(s, P.DATE_RANGE)), X.match(s, P.YEAR)).alias("date_text"))
+    item = lambda s: F.struct(s.alias("text"), institution(s, known).alias("institution"), degree(s).alias("degree"), field_of_study(s).alias("field_of_study"), F.coalesce(X.let(X.match(s, P.DATE_RANGE), X.clean), X.match(s, P.YEAR)).alias("date_text"))
     items = F.transform(F.filter(lines, lambda s: X.let(F.lower(s), lambda low: X.any_in(low, D.EDUCATION_WORDS))), item)
     return F.filter(items, lambda e: F.coalesce(e.institution, e.degree, e.field_of_study, e.date_text).isNotNull())
 
@@ -199,7 +199,7 @@ def experience_item(line: Column, known: Column) -> Column:
         clean_entity(X.match(line, P.WORKED_AT, 1)).alias("worked"),
         clean_entity(X.first(contained(line, known))).alias("other"),
     )
-    found = X.let(X.clean(X.match(line, P.DATE_RANGE)), lambda dates: X.let(without(dates), lambda rest: parts(dates, rest)))
+    found = X.let(X.let(X.match(line, P.DATE_RANGE), X.clean), lambda dates: X.let(without(dates), lambda rest: parts(dates, rest)))
     return X.let(found, lambda p: _experience_item(line, p))
 
 
