@@ -19,6 +19,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
 def recruiter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One recruiter row per order: the customer is the person, and e-mail, phone or both are missing in some rows."""
     orders = _table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
+    # Narrow rows are dealt over the cores before records are made of them: a small file is one task, though its records take long.
+    orders = orders.repartition(4 * spark.sparkContext.defaultParallelism, "o_orderkey")
     customers = _table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nations = _table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
